@@ -81,7 +81,7 @@ def whole_text_scan(spark, sf_dir):
     document ends in a form feed, which no text holds."""
     path = new_path(spark, "text")
     texts = table(spark, sf_dir, "documents").select(F.concat("text", F.lit("\f")).alias("value"))
-    texts.write.option("lineSep", "\n").option("maxRecordsPerFile", 50).text(path)
+    texts.write.option("lineSep", "\n").option("maxRecordsPerFile", 500).text(path)
     files = read_whole_text(spark, path)
     documents = F.length("text") - F.length(F.translate("text", "\f", ""))
     per_file = files.select(documents.alias("documents"), F.length("text").alias("chars"))

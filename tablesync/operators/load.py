@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists, subdirectories
+from ..session import matching, path_exists
 
 MODES = ("append", "truncate", "empty", "recreate")
 
+NUMBERED = "[0-9]" * 8
+
 
 class TargetNotEmpty(Exception):
     """An 'empty' load met a target that has rows."""
@@ -47,27 +49,29 @@ class PathTarget:
         self.spark, self.name = spark, path.rstrip("/")
 
     def _loads(self) -> list[str]:
-        """Folders that make up the current contents, oldest first."""
-        done = [
-            d for d in subdirectories(self.spark, self.name)
-            if d[:8].isdigit() and path_exists(self.spark, f"{self.name}/{d}/_SUCCESS")
-        ]
-        plain = [""] if path_exists(self.spark, f"{self.name}/_SUCCESS") else []
+        """Folders that make up the current contents, oldest first. Files that lie in
+        the target's folder itself count as its first load."""
+        marks = matching(self.spark, f"{self.name}/{NUMBERED}-*/_SUCCESS")
+        done = [m.removesuffix("/_SUCCESS") for m in marks]
         starts = [i for i, d in enumerate(done) if d.endswith("-replace")]
-        return done[starts[-1]:] if starts else plain + done
+        if starts:
+            return done[starts[-1]:]
+        return [self.name, *done] if path_exists(self.spark, f"{self.name}/_SUCCESS") else done
 
     def exists(self) -> bool:
         return bool(self._loads())
 
     def read(self) -> DataFrame:
+        """Every load is written with all columns known by then, so the last one has the
+        columns of all; earlier ones read as null without a look at their footers."""
         loads = self._loads()
-        widened = any(d.endswith("-widen") for d in loads)
-        reader = self.spark.read.option("mergeSchema", widened)
-        return reader.parquet(*[f"{self.name}/{d}".rstrip("/") for d in loads])
+        schema = self.spark.read.parquet(loads[-1]).schema
+        return self.spark.read.schema(schema).parquet(*loads)
 
     def _write(self, df: DataFrame, kind: str) -> None:
-        taken = [int(d[:8]) for d in subdirectories(self.spark, self.name) if d[:8].isdigit()]
-        df.write.parquet(f"{self.name}/{max(taken, default=0) + 1:08d}-{kind}")
+        taken = [p.rsplit("/", 1)[1] for p in matching(self.spark, f"{self.name}/{NUMBERED}-*")]
+        number = int(taken[-1].split("-")[0]) + 1 if taken else 1
+        df.write.parquet(f"{self.name}/{number:08d}-{kind}")
 
     def create(self, df: DataFrame) -> None:
         self._write(df, "replace")
@@ -79,10 +83,8 @@ class PathTarget:
 
     def append(self, df: DataFrame, add_columns: bool) -> None:
         schema = self.read().schema
-        new = _new_fields(df, schema)
-        if new and not add_columns:
-            raise ValueError(f"columns not in {self.name}: {[f.name for f in new]}")
-        self._write(_same_columns(df, T.StructType([*schema, *new])), "widen" if new else "append")
+        new = _new_fields(df, schema, self.name, add_columns)
+        self._write(_same_columns(df, T.StructType([*schema, *new])), "append")
 
 
 class TableTarget:
@@ -96,6 +98,9 @@ class TableTarget:
         base = self._base or self.spark.conf.get("spark.sql.warehouse.dir")
         return f"{base.rstrip('/')}/{self.name.replace('.', '/')}/{uuid.uuid4().hex}"
 
+    def _partition_columns(self) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
@@ -106,25 +111,35 @@ class TableTarget:
         df.write.format("parquet").option("path", self._new_location()).saveAsTable(self.name)
 
     def recreate(self, df: DataFrame) -> None:
+        """The new rows are complete before the old table goes."""
         location = self._new_location()
         df.write.parquet(location)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         self.spark.catalog.createTable(self.name, path=location, source="parquet")
 
     def truncate(self, df: DataFrame) -> None:
-        location = self._new_location()
-        _same_columns(df, self.read().schema).write.parquet(location)
-        self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{location}'")
+        location, schema = self._new_location(), self.read().schema
+        parts = self._partition_columns()
+        _same_columns(df, schema).write.partitionBy(*parts).parquet(location)
+        if parts:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            listed = ", ".join(f"`{p}`" for p in parts)
+            self.spark.sql(f"DROP TABLE {self.name}")
+            self.spark.sql(
+                f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({listed}) LOCATION '{location}'"
+            )
+            self.spark.catalog.recoverPartitions(self.name)
+        else:
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(self.name)
 
     def append(self, df: DataFrame, add_columns: bool) -> None:
-        new = _new_fields(df, self.read().schema)
+        new = _new_fields(df, self.read().schema, self.name, add_columns)
         if new:
-            if not add_columns:
-                raise ValueError(f"columns not in {self.name}: {[f.name for f in new]}")
             listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({listed})")
-        _same_columns(df, self.read().schema).write.mode("append").saveAsTable(self.name)
+        writer = _same_columns(df, self.read().schema).write.mode("append").format("parquet")
+        writer.partitionBy(*self._partition_columns()).saveAsTable(self.name)
 
 
 def open_target(spark: SparkSession, target: str, location: str | None = None):
@@ -141,25 +156,25 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     return opened.read() if opened.exists() else None
 
 
-def _new_fields(df: DataFrame, schema: T.StructType) -> list[T.StructField]:
+def _new_fields(df: DataFrame, schema: T.StructType, target: str, allowed: bool) -> list[T.StructField]:
+    """Columns of df that the target lacks, which only an add_columns load may bring."""
     known = {f.name.lower() for f in schema}
-    return [f for f in df.schema if f.name.lower() not in known]
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new and not allowed:
+        raise ValueError(f"columns not in {target}: {[f.name for f in new]}")
+    return new
 
 
 def _same_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """df by name in the order and types of schema; columns df lacks are null."""
+    _new_fields(df, schema, "the target", False)
     have = {c.lower(): c for c in df.columns}
-    unknown = [f.name for f in _new_fields(df, schema)]
-    if unknown:
-        raise ValueError(f"columns the target does not have: {unknown}")
-    return df.select(
-        *[
-            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema
-        ]
-    )
+
+    def column(f: T.StructField):
+        found = have.get(f.name.lower())
+        return (F.lit(None) if found is None else F.col(f"`{found}`")).cast(f.dataType).alias(f.name)
+
+    return df.select(*[column(f) for f in schema])
 
 
 def load_table(

@@ -84,7 +84,7 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
     hashable = [
         F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    return F.pmod(F.xxhash64(*hashable), F.lit(salts))
+    return F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
 
 
 def _join(
@@ -98,12 +98,12 @@ def _join(
     source_key = normalise_key(left_key, listed.kind, "source")
     keys, fits = listed.keys, listed.fits(limit)
     if not fits:
-        present = _distinct_keys(df, source_key).join(keys, KEY, "left_semi")
+        present = _distinct_keys(df, source_key).join(keys.hint("merge"), KEY, "left_semi")
         keys = written(present, "present")
         fits = _size(keys) <= limit
     if fits:
         return df.join(F.broadcast(keys), source_key == keys[KEY], how)
-    keys = keys.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    keys = keys.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(SALT)).hint("merge")
     return df.join(keys, (source_key == keys[KEY]) & (_row_salt(df, salts) == keys[SALT]), how)
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from ..operators.restrict import RestrictionList, anti_join, prepare_list
 from ..operators.watermark import EPOCH, Watermark, count_new, newer_than, read_watermark
 from ..session import new_path
 from ..sources.connections import Connections
-from ..sources.files import read_files
 from ..sources.jdbc import jdbc_literal, mark_text
 from .manifest import Entry, entries
 from .sqljob import bind_query, sql_template
@@ -35,6 +35,8 @@ PLAN_SCHEMA = (
     "pattern string, watermark string, rows_to_load bigint, status string, error string"
 )
 
+SPLIT = "split_value"
+
 UP_TO_DATE = "Tables are up to date."
 
 
@@ -58,6 +60,7 @@ class _Run:
         self.spark, self.conns, self.targets = spark, conns, targets
         self.past_marks = past_marks
         self._lists: dict[tuple, RestrictionList] = {}
+        self._lists_lock = Lock()
 
     def target(self, entry: Entry) -> str:
         return f"{self.targets.rstrip('/')}/{entry.gcptable}" if "/" in self.targets else f"{self.targets}.{entry.gcptable}"
@@ -107,19 +110,25 @@ class _Run:
         """Lists are few and shared by many entries, so each is reduced once per run."""
         server = entry.restrict_server or entry.server
         key = (server, entry.restrict_table, entry.restrict_key, entry.normalise)
-        if key not in self._lists:
-            listed = self.conns.read(server, entry.restrict_table)
-            self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
-        return self._lists[key]
+        with self._lists_lock:
+            if key not in self._lists:
+                listed = self.conns.read(server, entry.restrict_table)
+                self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
+            return self._lists[key]
 
     def load(self, p: Pending) -> LoadResult:
         rows = self.extract(p)
         if p.entry.splitby:
-            staged = new_path(self.spark, "staged")
-            stage(rows, staged, p.entry.splitby)
-            rows = read_files(self.spark, staged)
+            rows = self._staged(rows, p.entry.splitby)
         return load_table(rows, self.target(p.entry), p.entry.mode)
 
+    def _staged(self, rows: DataFrame, split_by: str) -> DataFrame:
+        """Stage in folders by a copy of the column: a folder name cannot tell an empty
+        text from null, nor '01' from 1, so the column itself stays in the files."""
+        path = new_path(self.spark, "staged")
+        stage(rows.withColumn(SPLIT, F.col(split_by)), path, SPLIT)
+        return self.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
     def audited(self, entry: Entry) -> tuple:
         """Run one entry and describe it; the description of a failure is its row."""
         mark = to_load = error = None

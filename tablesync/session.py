@@ -57,10 +57,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def subdirectories(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below path, sorted; none if path is absent."""
-    if not path_exists(spark, path):
-        return []
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, sorted; one listing however many there are."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return sorted(s.getPath().toString() for s in found or [])

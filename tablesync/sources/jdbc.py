@@ -7,7 +7,9 @@ caller supplies. `dialect` ('oracle' or 'sqlserver') and `database` are ours.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,10 +124,12 @@ def read_jdbc(
         return _load(spark, options)
     if kind == "string":
         return _load(spark, options, text_splits(split_by, low, high, num_partitions))
+    if kind in ("decimal", "float", "double"):
+        low, high = str(math.floor(Decimal(low))), str(math.ceil(Decimal(high)))
     ranged = {
         "partitionColumn": split_by,
-        "lowerBound": low.split(".")[0] if kind == "decimal" else low,
-        "upperBound": high.split(".")[0] if kind == "decimal" else high,
+        "lowerBound": low,
+        "upperBound": high,
         "numPartitions": str(num_partitions),
     }
     return _load(spark, {**options, **ranged})

@@ -1,0 +1,132 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablesync import anti_join, flag_restricted, normalise_key, only_restricted, prepare_list, restriction_keys
+from tablesync.operators import restrict
+
+
+def ids(spark, values, name="id"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def kept(spark, source, listed, kind, **sizing):
+    rows = anti_join(ids(spark, source), ids(spark, listed, "rid"), "id", "rid", kind, **sizing).collect()
+    return sorted((r[0] for r in rows), key=lambda v: (v is not None, v))
+
+
+@pytest.mark.parametrize(
+    ("kind", "source", "listed", "expected"),
+    [
+        ("plain", ["a", "A", None, "b"], ["a", None], [None, "A", "b"]),
+        # shorter ids are padded, longer ones keep their right end
+        ("pad10", ["0000000012", "12", "3456789012", None], ["12", "XX3456789012"], [None, "12"]),
+        ("pad10", ["XX34567890"], ["XX3456789012"], ["XX34567890"]),
+        ("pad10_ci", ["0000000ABC  ", "0000000abd"], ["aBc"], ["0000000abd"]),
+        ("ci", ["Jose", "JOSÉ ", "josé", " jose"], ["josé"], [" jose", "Jose"]),
+        ("numeric", ["007", "7.0", "8", "x", None, "12345678901234567890"], ["7", "12345678901234567890", "y"], [None, "8", "x"]),
+    ],
+)
+def test_key_forms(spark, kind, source, listed, expected):
+    assert kept(spark, source, listed, kind) == expected
+
+
+@pytest.mark.parametrize("sizing", [{}, {"limit": 0}, {"limit": 0, "salts": 1}])
+def test_all_join_strategies_agree(spark, sizing):
+    source = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id"
+    )
+    listed = spark.range(0, 3000, 5).select(F.col("id").alias("rk")).unionByName(spark.range(1000).selectExpr("7 AS rk"))
+    got = {r[1] for r in anti_join(source, listed, "k", "rk", **sizing).collect()}
+    bad = set(range(0, 3000, 5)) | {7}
+    expected = {i for i in range(3000) if {0: 7, 1: i, 2: None}[i % 3] not in bad}
+    assert got == expected
+    semi = {r[1] for r in only_restricted(source, listed, "k", "rk", "plain", **sizing).collect()}
+    assert semi == set(range(3000)) - expected
+    flags = flag_restricted(source, listed, "k", "rk", normalise="plain", **sizing)
+    assert flags.count() == 3000
+    assert {r["id"] for r in flags.where("is_restricted").collect()} == semi
+
+
+def test_small_list_is_broadcast(spark):
+    source, listed = spark.range(100), spark.range(5).toDF("rid")
+    plan = anti_join(source, listed, "id", "rid")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_large_list_shuffles_only_what_occurs(spark):
+    """The list is too long, its part that occurs in the source is not: no shuffle of the source."""
+    source, listed = spark.range(50), spark.range(10_000).toDF("rid")
+    limit = 200 * restrict.ROW_OVERHEAD
+    assert not prepare_list(listed, "rid").fits(limit)
+    out = anti_join(source.withColumn("wide", F.lit("x")), listed, "id", "rid", limit=limit)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert out.count() == 0
+
+
+def test_a_list_beyond_the_limit_is_never_broadcast(spark):
+    plan = anti_join(spark.range(100), spark.range(50).toDF("rid"), "id", "rid", limit=0)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_measured_size_covers_keys(spark):
+    listed = prepare_list(ids(spark, ["abc", "abc", None, "de"], "rid"), "rid", materialise=True)
+    assert listed.n_bytes == 2 * restrict.ROW_OVERHEAD + 5
+    assert sorted(r[0] for r in listed.keys.collect()) == ["abc", "de"]
+
+
+def test_star_adds_null_columns_of_the_list(spark):
+    source = spark.createDataFrame([(1, "x"), (2, "y")], "id int, name string")
+    listed = spark.createDataFrame([(2, "z")], "id int, name string")
+    out = anti_join(source, listed, "id", "id", keep_right=True)
+    assert out.columns == ["id", "name", "r_id", "r_name"]
+    assert [f.dataType.simpleString() for f in out.schema] == ["int", "string", "int", "string"]
+    assert [tuple(r) for r in out.collect()] == [(1, "x", None, None)]
+
+
+def test_flag_of_unreadable_ids_is_false(spark):
+    flags = flag_restricted(ids(spark, ["1", " 1 ", "x", "1.0", None, "2"]), ids(spark, ["1", "zz"], "rid"), "id", "rid")
+    assert [(r[0], r[1]) for r in flags.collect()] == [
+        ("1", True), (" 1 ", True), ("x", False), ("1.0", False), (None, False), ("2", False)
+    ]
+
+
+def test_distinct_keys_per_list(spark):
+    listed = spark.createDataFrame([("1", "9"), ("1", None), ("x", "9")], "cbu_cid string, rcid string")
+    rows = restriction_keys(listed, ["cbu_cid", "rcid"]).collect()
+    assert sorted(map(tuple, rows)) == [("cbu_cid", 1), ("rcid", 9)]
+
+
+def test_unknown_form_is_refused():
+    with pytest.raises(ValueError):
+        normalise_key("id", "soundex")
+
+
+KEY_TEXT = st.one_of(st.none(), st.text(alphabet="aAéÉ01 ", max_size=12))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(KEY_TEXT, min_size=1, max_size=20), st.lists(KEY_TEXT, min_size=1, max_size=8), st.sampled_from(["plain", "pad10", "ci", "pad10_ci", "numeric"]))
+def test_kept_and_restricted_make_the_input(spark, source, listed, kind):
+    df, rdf = ids(spark, source), ids(spark, listed, "rid")
+    out = anti_join(df, rdf, "id", "rid", kind).collect()
+    taken = only_restricted(df, rdf, "id", "rid", kind).collect()
+    assert sorted(str(r[0]) for r in out + taken) == sorted(map(str, source))
+
+    def key(value, on_list):
+        if value is None:
+            return None
+        if kind == "numeric":
+            try:
+                return int(value)
+            except ValueError:
+                return None
+        if kind.startswith("pad10") and on_list:
+            value = ("0" * 10 + value)[-10:]
+        return value.rstrip(" ").lower() if kind.endswith("ci") else value
+
+    bad = {key(v, True) for v in listed} - {None}
+    assert sorted(str(r[0]) for r in taken) == sorted(str(v) for v in source if key(v, False) in bad)
