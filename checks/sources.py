@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tablesync import (
@@ -16,6 +18,9 @@ from tablesync.session import new_path
 from .registry import LOADED_UNTIL, R_SQL, W_SQL, orders, query, restricted, table
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _view(spark, sf_dir, name):
     view = f"v_{name}"
     table(spark, sf_dir, name).createOrReplaceTempView(view)

@@ -3,41 +3,50 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PART_BYTES = 32 * 1024 * 1024
 
 MEMBER_SCHEMA = "archive string, member string, part int, content binary"
+COLUMNS = ["archive", "member", "part", "content"]
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            stream = io.BytesIO(content)
-            if zipfile.is_zipfile(stream):
-                yield from _parts(path, stream)
-
-
-def _parts(path: str, stream: io.BytesIO) -> Iterator[pd.DataFrame]:
-    """Members in small frames, so that a task never holds a whole expanded archive."""
-    rows, held = [], 0
+def _parts(path: str, content: bytes) -> Iterator[tuple[str, str, int, bytes]]:
+    """Members of one archive, long ones in several parts; none if it is no archive."""
+    stream = io.BytesIO(content)
+    if not zipfile.is_zipfile(stream):
+        return
     with zipfile.ZipFile(stream) as archive:
         for info in archive.infolist():
             with archive.open(info) as member:
                 part, chunk = 0, member.read(PART_BYTES)
                 while chunk or part == 0:
-                    rows.append((path, info.filename, part, chunk))
-                    held += len(chunk)
-                    if held >= PART_BYTES:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "part", "content"])
-                        rows, held = [], 0
+                    yield path, info.filename, part, chunk
                     part, chunk = part + 1, member.read(PART_BYTES)
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of bounded bytes: a task never holds a whole expanded archive."""
+    rows, held = [], 0
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            for row in _parts(path, content):
+                rows.append(row)
+                held += len(row[3])
+                if held >= PART_BYTES:
+                    yield pd.DataFrame(rows, columns=COLUMNS)
+                    rows, held = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=["archive", "member", "part", "content"])
+        yield pd.DataFrame(rows, columns=COLUMNS)
 
 
 def expand_members(archives: DataFrame) -> DataFrame:

@@ -24,5 +24,5 @@ def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", **options)
 
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per object: its path and its whole text."""
+    """One row per object: its path and its whole text. An object without bytes gives no row."""
     return spark.read.text(path, wholetext=True).selectExpr("_metadata.file_path AS path", "value AS text")

@@ -36,7 +36,7 @@ def jdbc_options(conn: Mapping[str, str], database: str | None = None) -> dict[s
 
 def relation(table_or_query: str) -> str:
     """A table name as it is, a query as a derived table."""
-    text = table_or_query.strip().rstrip(";")
+    text = table_or_query.strip().rstrip("; ")
     if text.split(None, 1)[0].lower() in ("select", "with"):
         return f"({text}) query"
     return text

@@ -1,0 +1,170 @@
+"""JDBC reads and writes without a database.
+
+The one call that talks to a database is replaced: the SQL that would be sent runs in
+Spark over temp views, so the generated text and predicates are executed, not compared.
+"""
+
+from unittest.mock import MagicMock
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablesync import Connections, export_tree, load_table, manifest_rows, plan_manifest, read_jdbc, read_target, sync_manifest, text_splits, write_jdbc
+from tablesync.operators.watermark import Watermark
+from tablesync.plans.manifest import RAW_SCHEMA
+from tablesync.sources import jdbc
+from tablesync.sources.jdbc import jdbc_literal, jdbc_options, mark_text, relation
+
+CONN = {"url": "jdbc:sqlserver://host:1433", "user": "reader", "driver": "a.b.C", "dialect": "sqlserver"}
+
+
+@pytest.fixture
+def sent(monkeypatch):
+    """Record what is sent, and answer from the session's views."""
+    calls = []
+
+    def answer(spark, options, predicates=None):
+        calls.append((dict(options), predicates))
+        text = f"SELECT * FROM {options['dbtable']}"
+        if predicates is None:
+            return spark.sql(text)
+        parts = [spark.sql(f"{text} WHERE {p}") for p in predicates]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionAll(part)
+        return out
+
+    monkeypatch.setattr(jdbc, "_load", answer)
+    return calls
+
+
+@pytest.fixture
+def source(spark):
+    rows = spark.range(500).select(
+        "id",
+        F.when(F.col("id") % 7 > 0, F.concat(F.chr(F.lit(65) + F.col("id") % 40), "id")).alias("source"),
+        (F.col("id") / 3).cast("decimal(10,2)").alias("amount"),
+    )
+    rows.createOrReplaceTempView("jdbc_source")
+    return rows
+
+
+def test_options():
+    out = jdbc_options(CONN, "sales")
+    assert out == {"url": "jdbc:sqlserver://host:1433;databaseName=sales", "user": "reader", "driver": "a.b.C"}
+    assert jdbc_options({**CONN, "database": "dw"})["url"].endswith(";databaseName=dw")
+    assert relation("dbo.t") == "dbo.t"
+    assert relation(" Select 1 ; ") == "(Select 1) query"
+    assert relation("(select 1) q") == "(select 1) q"
+
+
+def test_plain_scan(spark, source, sent):
+    assert read_jdbc(spark, CONN, "select id from jdbc_source where id < 10").count() == 10
+    assert sent == [({"url": CONN["url"], "user": "reader", "driver": "a.b.C",
+                      "dbtable": "(select id from jdbc_source where id < 10) query", "fetchsize": "100000"}, None)]
+
+
+@pytest.mark.parametrize("split_by", ["id", "amount"])
+def test_number_split(spark, source, sent, split_by):
+    read_jdbc(spark, CONN, "jdbc_source", split_by=split_by, num_partitions=5)
+    options, predicates = sent[-1]
+    assert predicates is None and len(sent) == 2
+    high = "499" if split_by == "id" else "167"
+    assert {k: options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "partitionColumn": split_by, "lowerBound": "0", "upperBound": high, "numPartitions": "5"}
+
+
+def test_text_split_reads_each_row_once(spark, source, sent):
+    out = read_jdbc(spark, CONN, "select * from jdbc_source", split_by="source", num_partitions=5)
+    assert len(sent[-1][1]) == 6 and sent[-1][1][-1] == "source IS NULL"
+    assert sorted(map(str, out.collect())) == sorted(map(str, source.collect()))
+
+
+def test_split_of_an_empty_or_single_valued_column(spark, source, sent):
+    assert read_jdbc(spark, CONN, "select * from jdbc_source where id < 0", split_by="id").count() == 0
+    assert read_jdbc(spark, CONN, "select * from jdbc_source where id = 3", split_by="source").count() == 1
+
+
+def test_own_predicates(spark, source, sent):
+    out = read_jdbc(spark, CONN, "jdbc_source", predicates=["id < 100", "id >= 100"])
+    assert out.count() == 500
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=6), min_size=1, max_size=30), st.integers(2, 8), st.sampled_from([lambda v: v, str.lower, lambda v: v[::-1]]))
+def test_text_splits_cover_values_once_in_any_order(values, parts, collation):
+    """Whatever order the database sorts texts by, every value meets one predicate."""
+    splits = text_splits("c", min(values), max(values), parts)
+    for value in values:
+        met = 0
+        for split in splits[:-1]:
+            if split == "c IS NOT NULL":
+                met += 1
+                continue
+            terms = split.split(" AND c ")
+            terms = [t.removeprefix("c ") for t in terms]
+            ok = True
+            for term in terms:
+                op, bound = term.split(" ", 1)
+                left, right = collation(value), collation(bound[1:-1].replace("''", "'"))
+                ok = ok and (left >= right if op == ">=" else left < right)
+            met += ok
+        assert met == 1
+
+
+def test_marks_by_dialect():
+    mark = Watermark("2022-11-06 03:09:03.123456")
+    assert jdbc_literal(mark, "oracle") == "to_date('2022-11-06 03:09:03','yyyy-mm-dd hh24:mi:ss')"
+    assert jdbc_literal(mark, "sqlserver") == "'2022-11-06 03:09:03.123'"
+    assert mark_text(Watermark("2022-11-06 03:09:03Z"), None) == "2022-11-06 03:09:03"
+    assert mark_text(Watermark("2022-11-06 03:09:03.123456Z"), None) == "2022-11-06 03:09:03.123"
+    assert mark_text(Watermark("202401"), "sqlserver") == "202401"
+
+
+@pytest.mark.parametrize(("mode", "save_mode", "truncate"), [("append", "append", "false"), ("truncate", "overwrite", "true")])
+def test_write(mode, save_mode, truncate):
+    df = MagicMock()
+    write_jdbc(df, CONN, "dbo.target", mode)
+    df.write.format.assert_called_with("jdbc")
+    options = df.write.format().options.call_args.kwargs
+    assert options["dbtable"] == "dbo.target" and options["truncate"] == truncate
+    assert (options["batchsize"], options["numPartitions"]) == ("1000", "10")
+    df.write.format().options().mode.assert_called_with(save_mode)
+
+
+def test_write_modes_are_checked():
+    with pytest.raises(ValueError):
+        write_jdbc(MagicMock(), CONN, "t", "merge")
+
+
+def test_export_reads_the_whole_tree(spark, tmp_path, monkeypatch):
+    spark.range(10).write.parquet(str(tmp_path / "a" / "b"))
+    spark.range(10, 15).write.parquet(str(tmp_path / "c"))
+    written = {}
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, conn, table, mode: written.update({table: (df.count(), mode)}))
+    export_tree(spark, str(tmp_path), CONN, "dbo.target")
+    assert written == {"dbo.target": (15, "append")}
+
+
+def test_manifest_queries_are_shipped_to_the_database(spark, sent, tmp_path):
+    """Count and extract run in the source; the bound text carries the mark."""
+    rows = spark.range(10).selectExpr("id", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int)) AS upd")
+    rows.createOrReplaceTempView("jdbc_orders")
+    spark.range(8, 10).toDF("rid").createOrReplaceTempView("jdbc_listed")
+    query = "select t1.* from $1 t1 left join jdbc_listed r on t1.id = r.rid where r.rid is null and $2 > '$3'"
+    fields = {"action": "append", "datecolumn": "UPD", "gcptable": "ORDERS", "query": query, "server": "Src", "tablename": "jdbc_orders"}
+    manifest = manifest_rows(spark.createDataFrame([tuple(fields.get(f) for f in RAW_SCHEMA.names)], RAW_SCHEMA))
+    conns = Connections(spark, {"src": {"format": "jdbc", **CONN}})
+    root = str(tmp_path)
+    load_table(rows.where("id < 5"), f"{root}/orders")
+
+    plan = plan_manifest(spark, manifest, conns, root).first()
+    assert (plan["rows_to_load"], plan["status"]) == (5, "pending")
+    assert plan["query"].endswith("where r.rid is null and upd > '2024-01-05 00:00:00'")
+
+    audit = sync_manifest(spark, manifest, conns, root).first()
+    assert (audit["status"], audit["rows_to_load"], audit["rows_written"], audit["rows_total"]) == ("loaded", 5, 3, 8)
+    assert any("count(*)" in options["dbtable"] for options, _ in sent)
+    assert sorted(r[0] for r in read_target(spark, f"{root}/orders").collect()) == list(range(8))
