@@ -5,10 +5,11 @@ the source depends on its measured size, never on an estimate:
 
 1. it fits in memory: broadcast it; the source is not shuffled, so a hot id or a
    third of null ids costs nothing extra;
-2. it does not, but the part of it that occurs in the source does: find that part
-   by shuffling distinct source ids only, then broadcast it;
-3. neither: shuffle both sides. The ids are spread over salts, and Spark's
-   skew-join handling splits what is still too large.
+2. it does not: count the source's ids, a shuffle of one narrow row per id and task,
+   and look them up in the list. If the listed ones fit, broadcast those;
+3. they do not either: shuffle both sides. The counts say which ids are hot. Rows of a
+   hot id spread over as many salts as it takes to make them ordinary, and only its
+   list entry repeats.
 """
 
 from __future__ import annotations
@@ -25,10 +26,14 @@ from ..session import written
 
 KEY = "__restricted_key"
 SALT = "__restricted_salt"
+ROWS = "__restricted_rows"
+LISTED = "__restricted_listed"
+HOT = "__restricted_hot"
+PIECES = "__restricted_pieces"
 
 BROADCAST_LIMIT = 128 * 1024 * 1024  # bytes of keys, row overhead included
 ROW_OVERHEAD = 48  # bytes a hashed row needs beyond its key
-SALTS = 16
+SHARES = 1000  # an id is hot when it holds more than this fraction of the rows
 
 
 @dataclass(frozen=True)
@@ -79,32 +84,50 @@ def _as_list(restricted, right_key, normalise) -> RestrictionList:
     return prepare_list(restricted, right_key, normalise)
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    """A salt that depends on the row alone, so a retried task gives the same one."""
-    hashable = [
-        F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+def _counted(df: DataFrame, source_key: Column, keys: DataFrame) -> DataFrame:
+    """The source's ids, null included, with their rows and whether they are listed."""
+    counts = df.groupBy(source_key.alias(KEY)).agg(F.count("*").alias(ROWS))
+    marked = keys.withColumn(LISTED, F.lit(True)).hint("merge")
+    return written(counts.join(marked, KEY, "left").withColumn(LISTED, F.col(LISTED).isNotNull()), "counted")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row alone, so that a retried task gives each row the same salt."""
+    unhashable = (T.MapType, T.VariantType)
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, unhashable)])
+
+
+def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, how: str) -> DataFrame:
+    rows = counted.agg(F.sum(ROWS)).first()[0] or 0
+    share = max(rows // SHARES, 1)
+    counted = counted.withColumn(PIECES, F.ceil(F.col(ROWS) / share).cast("int"))
+    # Each hot id holds more than one share of the rows: there are at most SHARES of them.
+    hot = counted.where(F.col(PIECES) > 1).select(F.col(KEY).alias(HOT), PIECES)
+    salt = F.coalesce(F.pmod(_row_hash(df), F.col(PIECES)), F.lit(0)).cast("int")
+    source = df.join(F.broadcast(hot), source_key.eqNullSafe(F.col(HOT)), "left").withColumn(SALT, salt)
+    listed = counted.where(LISTED).select(
+        KEY, F.explode(F.sequence(F.lit(0), F.col(PIECES) - 1)).alias(f"{SALT}_listed")
+    )
+    matches = (source_key == F.col(KEY)) & (F.col(SALT) == F.col(f"{SALT}_listed"))
+    return source.join(listed.hint("merge"), matches, how)
 
 
 def _join(
-    df: DataFrame,
-    left_key: str,
-    listed: RestrictionList,
-    how: str,
-    limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
+    df: DataFrame, left_key: str, listed: RestrictionList, how: str, limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
+    """df joined with the list's keys; columns beside df's own are for the caller to drop."""
     source_key = normalise_key(left_key, listed.kind, "source")
-    keys, fits = listed.keys, listed.fits(limit)
-    if not fits:
-        present = _distinct_keys(df, source_key).join(keys.hint("merge"), KEY, "left_semi")
-        keys = written(present, "present")
-        fits = _size(keys) <= limit
-    if fits:
-        return df.join(F.broadcast(keys), source_key == keys[KEY], how)
-    keys = keys.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(SALT)).hint("merge")
-    return df.join(keys, (source_key == keys[KEY]) & (_row_salt(df, salts) == keys[SALT]), how)
+    if listed.fits(limit):
+        return df.join(F.broadcast(listed.keys), source_key == F.col(KEY), how)
+    counted = _counted(df, source_key, listed.keys)
+    present = counted.where(LISTED).select(KEY)
+    if _size(present) <= limit:
+        return df.join(F.broadcast(present), source_key == F.col(KEY), how)
+    return _salted_join(df, source_key, counted, how)
+
+
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def anti_join(
@@ -122,7 +145,7 @@ def anti_join(
     `select *` over the outer join that this replaces.
     """
     listed = _as_list(restricted, right_key, normalise)
-    kept = _join(df, left_key, listed, "left_anti", **sizing)
+    kept = _join(df, left_key, listed, "left_anti", **sizing).select(*_columns(df))
     if not keep_right:
         return kept
     nulls = [F.lit(None).cast(f.dataType).alias(f"r_{f.name}") for f in listed.source_schema]
@@ -138,7 +161,8 @@ def only_restricted(
     **sizing,
 ) -> DataFrame:
     """Rows of df whose id is on the list."""
-    return _join(df, left_key, _as_list(restricted, right_key, normalise), "left_semi", **sizing)
+    listed = _as_list(restricted, right_key, normalise)
+    return _join(df, left_key, listed, "left_semi", **sizing).select(*_columns(df))
 
 
 def flag_restricted(
@@ -153,7 +177,7 @@ def flag_restricted(
     """df with a boolean: is the id on the list? Unreadable and null ids are not."""
     listed = _as_list(restricted, right_key, normalise)
     joined = _join(df, left_key, listed, "left", **sizing)
-    return joined.select(*[df[f"`{c}`"] for c in df.columns], F.col(KEY).isNotNull().alias(out))
+    return joined.select(*_columns(df), F.col(KEY).isNotNull().alias(out))
 
 
 def restriction_keys(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -32,7 +32,7 @@ def test_key_forms(spark, kind, source, listed, expected):
     assert kept(spark, source, listed, kind) == expected
 
 
-@pytest.mark.parametrize("sizing", [{}, {"limit": 0}, {"limit": 0, "salts": 1}])
+@pytest.mark.parametrize("sizing", [{}, {"limit": 300 * restrict.ROW_OVERHEAD}, {"limit": 0}])
 def test_all_join_strategies_agree(spark, sizing):
     source = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id"
@@ -67,9 +67,26 @@ def test_large_list_shuffles_only_what_occurs(spark):
 
 
 def test_a_list_beyond_the_limit_is_never_broadcast(spark):
-    plan = anti_join(spark.range(100), spark.range(50).toDF("rid"), "id", "rid", limit=0)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in text and "Broadcast" not in text
+    """Only the hot ids of the source are, which are few by definition."""
+    listed = spark.range(50).toDF("rid")
+    out = anti_join(spark.range(2000), listed, "id", "rid", limit=0)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "LeftAnti" in text
+    assert "BroadcastHashJoin" not in text.split("LeftAnti")[0]
+    assert out.count() == 1950
+
+
+def test_hot_ids_are_spread(spark):
+    """A third of the rows has one id, a third none: no (id, salt) group keeps much."""
+    source = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("k")
+    )
+    listed = spark.range(0, 30_000, 2).select(F.col("id").alias("rk"))
+    counted = restrict._counted(source, F.col("k"), prepare_list(listed, "rk").keys)
+    joined = restrict._salted_join(source, F.col("k"), counted, "left")
+    assert joined.count() == 30_000
+    largest = joined.groupBy("k", restrict.SALT).count().agg(F.max("count")).first()[0]
+    assert largest < 3 * 30_000 / restrict.SHARES
 
 
 def test_measured_size_covers_keys(spark):
