@@ -16,7 +16,7 @@ from tablesync import local_session
 
 HEADLINE = [
     "watermark_max",
-    "count_new_rows",
+    "count_new",
     "incremental_extract",
     "watermark_milli",
     "watermark_epoch_ms",
@@ -37,8 +37,8 @@ HEADLINE = [
     "incremental_append",
     "full_refresh",
     "delta_replace",
-    "sync_manifest_run",
-    "scrub_delimiters",
+    "sync_manifest",
+    "scrub_delims",
     "conform_types",
     "archive_expand",
     "run_log_parse",

@@ -32,9 +32,9 @@ MARK = "2000-01-01 00:00:00"
 
 def build(spark, copies: int, path: str):
     lines = spark.read.parquet(f"{os.environ.get('BENCH_SF_DIR', '/root/testdata/sf0.1')}/lineitem.parquet")
-    spread = spark.range(copies, numPartitions=copies).withColumnRenamed("id", "copy")
+    copied = lines.repartition(copies).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     key = F.when(F.col("l_linenumber") % 3 == 0, HOT).when(F.col("l_quantity") > 45, None)
-    rows = F.broadcast(lines).crossJoin(spread).select(
+    rows = copied.select(
         key.otherwise(F.col("l_orderkey") * copies + F.col("copy")).alias("key"), "copy", *lines.columns
     )
     rows.write.parquet(path)

@@ -109,7 +109,8 @@ def load_add_columns_table(spark, sf_dir):
     SELECT 1 AS position, 0 AS rows_before, t.n AS rows_written, t.n AS rows_total, t.n AS net_change,
            (SELECT strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM {T_SQL}) AS report_max FROM t
     UNION ALL SELECT 2, t.n, d.n, t.n + d.n, d.n, m.hi FROM t, d, m
-    UNION ALL SELECT 3, t.n + d.n, d.n, d.n, -t.n, m.hi FROM t, d, m"""
+    UNION ALL SELECT 3, t.n + d.n, d.n, d.n, -t.n, m.hi FROM t, d, m""",
+    name="load_audit",
 )
 def load_audit_rows(spark, sf_dir):
     """Counts and report date after a first load, an append and a truncate."""
@@ -148,11 +149,12 @@ def parquet_tree_scan(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES
+    """SELECT * REPLACE (cast(tables AS bigint) AS tables) FROM (VALUES
     (1, 'c_custkey', 'bigint', 'Nullable', 'c_custkey', 1), (2, 'c_name', 'string', 'Nullable', 'c_name', 1),
     (3, 'c_nationkey', 'int', 'Nullable', 'c_nationkey', 1), (4, 'c_acctbal', 'double', 'Nullable', 'c_acctbal', 1),
     (5, 'c_mktsegment', 'string', 'Nullable', 'c_mktsegment', 1), (6, 'loaded_rows', 'bigint', 'Nullable', 'loaded_rows', 1))
-    v(ordinal, name, type, mode, description, tables)"""
+    v(ordinal, name, type, mode, description, tables)""",
+    name="catalog_columns",
 )
 def catalog_column_list(spark, sf_dir):
     """Columns of a table as loaded, one of them counted over the whole source."""

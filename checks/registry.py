@@ -19,13 +19,14 @@ W_SQL = f"(SELECT max(o_orderdate) FROM {T_SQL})"
 R_SQL = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')"
 
 
-def query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL if there is one."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a query under a name, its function's by default, with its SQL if there is one."""
 
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            ORACLE_SQL[fn.__name__] = sql
+            ORACLE_SQL[key] = sql
         return fn
 
     return register

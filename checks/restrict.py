@@ -86,7 +86,8 @@ def anti_join_large_list(spark, sf_dir):
 
 @query(
     "SELECT DISTINCT list_name, id FROM (SELECT 'c_custkey' AS list_name, c_custkey AS id FROM customer "
-    "UNION ALL SELECT 'c_nationkey', cast(c_nationkey AS bigint) FROM customer)"
+    "UNION ALL SELECT 'c_nationkey', cast(c_nationkey AS bigint) FROM customer)",
+    name="restriction_keys",
 )
 def restriction_key_lists(spark, sf_dir):
     listed = table(spark, sf_dir, "customer").select(

@@ -46,7 +46,7 @@ def sql_query(spark, sf_dir):
     )
 
 
-@query(f"SELECT t1.* FROM orders t1 WHERE o_orderdate > TIMESTAMP '{LOADED_UNTIL}'")
+@query(f"SELECT t1.* FROM orders t1 WHERE o_orderdate > TIMESTAMP '{LOADED_UNTIL}'", name="sql_template")
 def sql_template_bound(spark, sf_dir):
     view = _view(spark, sf_dir, "orders")
     return sql_template(spark, "select t1.* from $1 t1 where $2 > '$3'", view, "o_orderdate", Watermark(LOADED_UNTIL))
@@ -124,7 +124,7 @@ def archive_expand(spark, sf_dir):
 
 @query(
     """SELECT 'append' AS action, CASE WHEN c_acctbal > 0 THEN 'last_updt_ts' END AS datecolumn, c_mktsegment AS dntl,
-    lower(c_name) AS gcptable, 'select * from $1 where $2 > ''$3'', "' || c_name || '"' AS query, 'src1' AS server, NULL AS splitby,
+    lower(c_name) AS gcptable, 'select * from $1 where $2 > ''$3'', "' || c_name || '"' AS query, 'src1' AS server, cast(NULL AS varchar) AS splitby,
     'db.dbo.t' || cast(c_custkey AS varchar) AS tablename, 't' || cast(c_custkey AS varchar) AS name FROM customer"""
 )
 def manifest_scan(spark, sf_dir):
@@ -174,7 +174,7 @@ def run_log_parse(spark, sf_dir):
     return parse_run_logs(spark, path).drop("message")
 
 
-@query("SELECT doc_id, translate(text, chr(10) || chr(13) || chr(1), '') AS text, lang, source, n_chars FROM documents")
+@query("SELECT doc_id, translate(text, chr(10) || chr(13) || chr(1), '') AS text, lang, source, n_chars FROM documents", name="scrub_delims")
 def scrub_delimiters(spark, sf_dir):
     return scrub_delims(table(spark, sf_dir, "documents"))
 

@@ -4,16 +4,16 @@ from tablesync import Connections, load_table, manifest_rows, plan_manifest, rea
 from tablesync.plans.manifest import RAW_SCHEMA
 from tablesync.session import new_path
 
-from .registry import R_SQL, T_SQL, W_SQL, loaded_orders, orders, query, restricted, table
+from .registry import R_SQL, T_SQL, W_SQL, loaded_orders, orders, query, restricted
 
 KEPT = f"o_custkey NOT IN (SELECT c_custkey FROM {R_SQL})"
 NEWER = f"o_orderdate > {W_SQL}"
 
-RESTRICTED = {"dntl": "o_custkey", "restrict_server": "lists", "restrict_table": "customer", "restrict_key": "c_custkey"}
+RESTRICTED = {"dntl": "o_custkey", "restrict_server": "lists", "restrict_table": "listed_customers", "restrict_key": "c_custkey"}
 
 
 def _entry(gcptable, **fields):
-    values = {"action": "append", "server": "files", "tablename": "sales.orders", "gcptable": gcptable, **fields}
+    values = {"action": "append", "server": "files", "tablename": "orders", "gcptable": gcptable, **fields}
     return tuple(values.get(f) for f in RAW_SCHEMA.names)
 
 
@@ -22,10 +22,8 @@ def _manifest(spark, *entries):
 
 
 def _connections(spark, sf_dir):
-    """Orders as files under a schema name; the restricted customers in the catalog."""
-    restricted(spark, sf_dir).createOrReplaceTempView("customer")
-    for name in ("orders", "events", "lineitem"):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"sales_{name}")
+    """The tables as files; the restricted customers in the catalog."""
+    restricted(spark, sf_dir).createOrReplaceTempView("listed_customers")
     return Connections(spark, {
         "files": {"format": "parquet", "path": f"{sf_dir}/{{table}}.parquet"},
         "lists": {"format": "table"},
@@ -46,27 +44,27 @@ def _synced(spark, sf_dir, entry, before=None):
 
 @query(f"SELECT * FROM {T_SQL} UNION ALL SELECT * FROM orders WHERE {NEWER} AND {KEPT}")
 def incremental_append(spark, sf_dir):
-    entry = _entry("orders_t", tablename="orders", datecolumn="o_orderdate", **RESTRICTED)
+    entry = _entry("orders_t", datecolumn="o_orderdate", **RESTRICTED)
     return _synced(spark, sf_dir, entry, loaded_orders(spark, sf_dir))
 
 
 @query(f"SELECT * FROM orders WHERE {KEPT}")
 def full_refresh(spark, sf_dir):
-    entry = _entry("orders_t", tablename="orders", action="truncate", **RESTRICTED)
+    entry = _entry("orders_t", action="truncate", **RESTRICTED)
     return _synced(spark, sf_dir, entry, loaded_orders(spark, sf_dir))
 
 
 @query("SELECT * FROM orders")
 def gated_refresh(spark, sf_dir):
     """There are newer rows, so everything is loaded again."""
-    entry = _entry("orders_t", tablename="orders", action="truncate", datecolumn="o_orderdate", extract="full")
+    entry = _entry("orders_t", action="truncate", datecolumn="o_orderdate", extract="full")
     return _synced(spark, sf_dir, entry, loaded_orders(spark, sf_dir))
 
 
 @query(f"SELECT * FROM orders WHERE {NEWER}")
 def gated_refresh_skip(spark, sf_dir):
     """The target holds the newest row, so it stays as it is, gaps included."""
-    entry = _entry("orders_t", tablename="orders", action="truncate", datecolumn="o_orderdate", extract="full")
+    entry = _entry("orders_t", action="truncate", datecolumn="o_orderdate", extract="full")
     newest = orders(spark, sf_dir).join(loaded_orders(spark, sf_dir), "o_orderkey", "left_anti")
     return _synced(spark, sf_dir, entry, newest)
 
@@ -74,32 +72,32 @@ def gated_refresh_skip(spark, sf_dir):
 @query(f"SELECT * FROM orders WHERE {NEWER} AND {KEPT}")
 def delta_replace(spark, sf_dir):
     """A truncate with a mark leaves the newest rows only."""
-    entry = _entry("orders_t", tablename="orders", action="truncate", datecolumn="o_orderdate", **RESTRICTED)
+    entry = _entry("orders_t", action="truncate", datecolumn="o_orderdate", **RESTRICTED)
     return _synced(spark, sf_dir, entry, loaded_orders(spark, sf_dir))
 
 
 @query(f"SELECT * FROM {T_SQL} UNION ALL SELECT * FROM orders WHERE {NEWER} AND {KEPT}")
 def incremental_by_sql(spark, sf_dir):
     """The restriction as SQL text of the manifest, in place of declared fields."""
-    sql = "select t1.* from $1 t1 left join customer r on t1.o_custkey = r.c_custkey where r.c_custkey is null and $2 > '$3'"
-    entry = _entry("orders_t", tablename="orders", datecolumn="o_orderdate", query=sql)
+    sql = "select t1.* from $1 t1 left join listed_customers r on t1.o_custkey = r.c_custkey where r.c_custkey is null and $2 > '$3'"
+    entry = _entry("orders_t", datecolumn="o_orderdate", query=sql)
     return _synced(spark, sf_dir, entry, loaded_orders(spark, sf_dir))
 
 
 @query(f"SELECT * FROM orders WHERE {KEPT}")
 def staged_by_partition(spark, sf_dir):
-    entry = _entry("orders_t", tablename="orders", action="truncate", splitby="o_orderstatus", **RESTRICTED)
+    entry = _entry("orders_t", action="truncate", splitby="o_orderstatus", **RESTRICTED)
     return _synced(spark, sf_dir, entry)
 
 
 def _several(spark):
     return _manifest(
         spark,
-        _entry("orders_inc", tablename="orders", datecolumn="O_ORDERDATE", **RESTRICTED),
-        _entry("orders_full", tablename="orders", action="truncate"),
+        _entry("orders_inc", datecolumn="O_ORDERDATE", **RESTRICTED),
+        _entry("orders_full", action="truncate"),
         _entry("lineitem_inc", tablename="lineitem", datecolumn="l_shipdate", **{**RESTRICTED, "dntl": "l_suppkey"}),
         _entry("events_inc", tablename="events", datecolumn="ts", precision="milli"),
-        _entry("lost", tablename="orders", server="nowhere", datecolumn="o_orderdate"),
+        _entry("lost", server="nowhere", datecolumn="o_orderdate"),
     )
 
 
@@ -125,7 +123,8 @@ _LINES = f"(SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT c_custk
     UNION ALL SELECT 2, 'orders', 'orders_full', 'full', {_EPOCH}, NULL, 0, o, o, o, 'loaded', NULL FROM n
     UNION ALL SELECT 3, 'lineitem', 'lineitem_inc', 'incremental', {_EPOCH}, l, 0, lk, lk, lk, 'loaded', NULL FROM n
     UNION ALL SELECT 4, 'events', 'events_inc', 'incremental', {_EPOCH}, e, 0, e, e, e, 'loaded', NULL FROM n
-    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', {_EPOCH}, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST}"""
+    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', {_EPOCH}, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST}""",
+    name="sync_manifest",
 )
 def sync_manifest_run(spark, sf_dir):
     """Several entries, one of which names a source that does not exist."""
@@ -140,7 +139,8 @@ def sync_manifest_run(spark, sf_dir):
     UNION ALL SELECT 2, 'files', 'truncate', NULL, 'orders_full', {_EPOCH}, NULL, 'pending'
     UNION ALL SELECT 3, 'files', 'append', 'l_shipdate', 'lineitem_inc', {_EPOCH}, (SELECT count(*) FROM lineitem), 'pending'
     UNION ALL SELECT 4, 'files', 'append', 'ts', 'events_inc', {_EPOCH}, (SELECT count(*) FROM events), 'pending'
-    UNION ALL SELECT 5, 'nowhere', 'append', 'o_orderdate', 'lost', {_EPOCH}, NULL, 'error'"""
+    UNION ALL SELECT 5, 'nowhere', 'append', 'o_orderdate', 'lost', {_EPOCH}, NULL, 'error'""",
+    name="plan_manifest",
 )
 def plan_manifest_run(spark, sf_dir):
     root = _with_loaded_orders(spark, sf_dir)
@@ -150,20 +150,21 @@ def plan_manifest_run(spark, sf_dir):
 
 @query(
     f"""SELECT 'orders_inc' AS target, {_MARK} AS last_date, 'orders_inc : Last date: ' || {_MARK} AS message
-    UNION ALL SELECT t, {_EPOCH}, t || ' : Last date: ' || {_EPOCH} FROM (VALUES ('orders_full'), ('lineitem_inc'), ('events_inc')) v(t)"""
+    UNION ALL SELECT t, {_EPOCH}, t || ' : Last date: ' || {_EPOCH} FROM (VALUES ('orders_full'), ('lineitem_inc'), ('events_inc')) v(t)""",
+    name="sync_report",
 )
 def sync_report_first(spark, sf_dir):
     root = _with_loaded_orders(spark, sf_dir)
     return sync_report(sync_manifest(spark, _several(spark), _connections(spark, sf_dir), root))
 
 
-@query("SELECT NULL AS target, NULL AS last_date, 'Tables are up to date.' AS message")
+@query("SELECT cast(NULL AS varchar) AS target, cast(NULL AS varchar) AS last_date, 'Tables are up to date.' AS message")
 def sync_report_again(spark, sf_dir):
     """A second run finds nothing newer in whole tables."""
     root, conns = new_path(spark, "targets"), _connections(spark, sf_dir)
     manifest = _manifest(
         spark,
-        _entry("orders_inc", tablename="orders", datecolumn="o_orderdate"),
+        _entry("orders_inc", datecolumn="o_orderdate"),
         _entry("lineitem_inc", tablename="lineitem", datecolumn="l_shipdate"),
         _entry("events_inc", tablename="events", datecolumn="ts"),
     )

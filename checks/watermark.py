@@ -72,7 +72,7 @@ def watermark_reused(spark, sf_dir):
     return target.agg(F.max(F.lit(mark.text)).alias("watermark"))
 
 
-@query(f"SELECT count(*) AS rows_to_load FROM orders WHERE o_orderdate > {W_SQL}")
+@query(f"SELECT count(*) AS rows_to_load FROM orders WHERE o_orderdate > {W_SQL}", name="count_new")
 def count_new_rows(spark, sf_dir):
     mark = read_watermark(loaded_orders(spark, sf_dir), "o_orderdate")
     return count_new(orders(spark, sf_dir), "o_orderdate", mark)

@@ -184,6 +184,7 @@ def load_table(
     add_columns: bool = False,
     report_col: str | None = None,
     location: str | None = None,
+    rebalance: bool = False,
 ) -> LoadResult:
     """Load df in one write.
 
@@ -192,7 +193,9 @@ def load_table(
     empty      load only if the target is absent or has no rows
     recreate   replace rows and columns
 
-    Rows written are counted by the write itself, which reads the source once.
+    Rows written are counted by the write itself, which reads the source once. Each task
+    writes a file; rebalance gathers the rows of a small part of a large source, which
+    come from many tasks, into files of ordinary size first.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
@@ -207,7 +210,7 @@ def load_table(
     metrics = [F.count(F.lit(1)).alias("rows")]
     if report_col:
         metrics.append(F.max(report_col).cast("string").alias("report"))
-    counted = df.observe(seen, *metrics)
+    counted = (df.hint("rebalance") if rebalance else df).observe(seen, *metrics)
     if not exists:
         opened.create(counted)
     elif mode == "append":

@@ -76,7 +76,7 @@ def read_watermark(
     if target is None:
         return Watermark(EPOCH)
     if at_least is not None and at_least.text != EPOCH and precision != "epoch_ms":
-        recent = target.where(F.col(col) >= at_least.literal(dtype_of(target, col)))
+        recent = target.where(F.col(col) >= F.lit(at_least.text).try_cast(dtype_of(target, col)))
         found = resolve_watermark(recent, col, precision).first()[0]
         if found != EPOCH:
             return Watermark(found)

@@ -120,7 +120,7 @@ class _Run:
         rows = self.extract(p)
         if p.entry.splitby:
             rows = self._staged(rows, p.entry.splitby)
-        return load_table(rows, self.target(p.entry), p.entry.mode)
+        return load_table(rows, self.target(p.entry), p.entry.mode, rebalance=p.entry.uses_mark)
 
     def _staged(self, rows: DataFrame, split_by: str) -> DataFrame:
         """Stage in folders by a copy of the column: a folder name cannot tell an empty

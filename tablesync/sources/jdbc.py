@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,9 @@ def jdbc_options(conn: Mapping[str, str], database: str | None = None) -> dict[s
 
 
 def relation(table_or_query: str) -> str:
-    """A table name as it is, a query as a derived table."""
-    text = table_or_query.strip().rstrip("; ")
+    """A table name as it is, a query as a derived table. The placeholder that import
+    jobs keep for their splits is open here: the splits go around the query."""
+    text = table_or_query.strip().rstrip("; ").replace("$CONDITIONS", "1 = 1")
     if text.split(None, 1)[0].lower() in ("select", "with"):
         return f"({text}) query"
     return text
@@ -51,13 +53,53 @@ def text_splits(column: str, low: str, high: str, parts: int) -> list[str]:
     Nulls get a predicate of their own.
     """
     bounds = _between(low, high, parts - 1)
-    quoted = ["'" + b.replace("'", "''") + "'" for b in bounds]
-    splits = []
-    for i in range(len(quoted) + 1):
-        terms = [f"{column} >= {b}" for b in quoted[:i]]
-        terms += [f"{column} < {quoted[i]}"] if i < len(quoted) else []
-        splits.append(" AND ".join(terms) or f"{column} IS NOT NULL")
-    return [*splits, f"{column} IS NULL"]
+    splits = _first_below(column, [_quoted(b) for b in bounds])
+    return [" AND ".join(terms) or f"{column} IS NOT NULL" for terms in splits] + [f"{column} IS NULL"]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _first_below(column: str, bounds: list[str]) -> list[list[str]]:
+    """Terms per split: below its own bound and not below any earlier one."""
+    ends = [[f"{column} < {b}"] for b in bounds] + [[]]
+    return [[f"{column} >= {b}" for b in bounds[:i]] + end for i, end in enumerate(ends)]
+
+
+@dataclass(frozen=True)
+class HotValue:
+    """A value, or null, that fills more than one part, and the span of its second column."""
+
+    value: str | None
+    parts: int
+    low: int
+    high: int
+
+
+def hot_splits(column: str, then_by: str, splits: list[str], hot: list[HotValue]) -> list[str]:
+    """Take hot values out of the splits and divide each by a second, whole-number column."""
+    common = [h.value for h in hot if h.value is not None]
+    out = [s for s in splits if s != f"{column} IS NULL" or all(h.value is not None for h in hot)]
+    if common:
+        listed = ", ".join(_quoted(v) for v in common)
+        out = [s if s.endswith("IS NULL") else f"{s} AND {column} NOT IN ({listed})" for s in out]
+    for h in hot:
+        bounds = sorted({h.low + (h.high - h.low) * k // h.parts for k in range(1, h.parts)})
+        here = f"{column} IS NULL" if h.value is None else f"{column} = {_quoted(h.value)}"
+        pieces = [" AND ".join([here, *terms]) for terms in _first_below(then_by, [str(b) for b in bounds])]
+        out += [*pieces, f"{here} AND {then_by} IS NULL"] if bounds else [here]
+    return out
+
+
+def _hot_values(spark: SparkSession, options: Mapping[str, str], column: str, then_by: str, parts: int) -> list[HotValue]:
+    """Values that fill more than one part: fewer than parts, found by the database."""
+    rel = options["dbtable"]
+    counted = f"SELECT {column} AS v, count(*) AS n, min({then_by}) AS lo, max({then_by}) AS hi FROM {rel} GROUP BY {column}"
+    total = int(_load(spark, {**options, "dbtable": f"(SELECT count(*) AS n FROM {rel}) total"}).first()[0])
+    share = max(total // parts, 1)
+    rows = _load(spark, {**options, "dbtable": f"({counted} HAVING count(*) > {share}) hot"}).collect()
+    return [HotValue(v, math.ceil(n / share), int(lo), int(hi)) for v, n, lo, hi in rows if lo is not None]
 
 
 def _between(low: str, high: str, n: int, width: int = 8) -> list[str]:
@@ -97,6 +139,7 @@ def read_jdbc(
     table_or_query: str,
     split_by: str | None = None,
     num_partitions: int = SPLITS,
+    then_by: str | None = None,
     predicates: list[str] | None = None,
     fetchsize: int = FETCH_SIZE,
     database: str | None = None,
@@ -105,10 +148,12 @@ def read_jdbc(
 
     With split_by the read runs in num_partitions parallel parts. The bounds come from
     one min/max query. Numbers, dates and timestamps split into even ranges, text by
-    text_splits. Name a column of many distinct values: a part holds at least one
-    value. For a column with a very frequent value pass `predicates` that split it.
+    text_splits. A part holds at least one value, so name a column of many values, or
+    for text a whole-number column then_by that divides the values which alone exceed
+    a part. Own `predicates` must be disjoint and complete.
     """
-    options = {**jdbc_options(conn, database), "dbtable": relation(table_or_query), "fetchsize": str(fetchsize)}
+    source = relation(table_or_query)
+    options = {**jdbc_options(conn, database), "dbtable": source, "fetchsize": str(fetchsize)}
     if predicates is not None:
         return _load(spark, options, predicates)
     if split_by is None or num_partitions < 2:
@@ -116,14 +161,17 @@ def read_jdbc(
 
     bounds = _load(
         spark,
-        {**options, "dbtable": f"(SELECT min({split_by}) AS lo, max({split_by}) AS hi FROM {relation(table_or_query)}) bounds"},
+        {**options, "dbtable": f"(SELECT min({split_by}) AS lo, max({split_by}) AS hi FROM {source}) bounds"},
     ).toDF("lo", "hi")
     kind = bounds.schema["lo"].dataType.typeName()
     low, high = bounds.selectExpr("cast(lo as string)", "cast(hi as string)").first()
     if low is None or low == high:
         return _load(spark, options)
     if kind == "string":
-        return _load(spark, options, text_splits(split_by, low, high, num_partitions))
+        splits = text_splits(split_by, low, high, num_partitions)
+        if then_by is not None:
+            splits = hot_splits(split_by, then_by, splits, _hot_values(spark, options, split_by, then_by, num_partitions))
+        return _load(spark, options, splits)
     if kind in ("decimal", "float", "double"):
         low, high = str(math.floor(Decimal(low))), str(math.ceil(Decimal(high)))
     ranged = {

@@ -58,6 +58,7 @@ def test_options():
     assert relation("dbo.t") == "dbo.t"
     assert relation(" Select 1 ; ") == "(Select 1) query"
     assert relation("(select 1) q") == "(select 1) q"
+    assert relation("select * from t where $CONDITIONS") == "(select * from t where 1 = 1) query"
 
 
 def test_plain_scan(spark, source, sent):
@@ -82,6 +83,18 @@ def test_text_split_reads_each_row_once(spark, source, sent):
     assert sorted(map(str, out.collect())) == sorted(map(str, source.collect()))
 
 
+@pytest.mark.parametrize("hot", ["'hot''s'", "NULL"])
+def test_hot_text_is_divided_by_a_second_column(spark, sent, hot):
+    """A third of the rows has one value, or none: it takes several reads."""
+    rows = spark.range(900).selectExpr(
+        "nullif(id, 21) AS id", f"CASE WHEN id % 3 = 0 THEN {hot} ELSE concat(chr(65 + id % 26), id) END AS source")
+    rows.createOrReplaceTempView("jdbc_skewed")
+    out = read_jdbc(spark, CONN, "select * from jdbc_skewed where $CONDITIONS", split_by="source", num_partitions=9, then_by="id")
+    assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
+    parts = [rows.where(p).count() for p in sent[-1][1]]
+    assert sum(parts) == 900 and max(parts) <= 2 * 900 / 9
+
+
 def test_split_of_an_empty_or_single_valued_column(spark, source, sent):
     assert read_jdbc(spark, CONN, "select * from jdbc_source where id < 0", split_by="id").count() == 0
     assert read_jdbc(spark, CONN, "select * from jdbc_source where id = 3", split_by="source").count() == 1

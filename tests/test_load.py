@@ -132,6 +132,13 @@ def test_audit_rows(spark, tmp_path):
     assert [(r["rows_before"], r["rows_written"], r["net_change"]) for r in rows] == [(0, 3, 3), (3, 1, -2)]
 
 
+def test_a_small_part_of_many_tasks_gives_few_files(spark, tmp_path):
+    path = str(tmp_path / "target")
+    out = load_table(spark.range(0, 4000, 1, 40).where("id > 10"), path, rebalance=True)
+    files = [f for d in os.listdir(path) for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]
+    assert out.rows_written == 3989 and len(files) == 1
+
+
 def test_one_listing_however_many_loads(spark, tmp_path):
     target = PathTarget(spark, str(tmp_path / "target"))
     for i in range(4):
