@@ -3,8 +3,8 @@
     python benchmarks/scale.py [copies]
 
 Builds the copies with Spark in a scratch folder, runs each step once and reads task
-times from Spark's event log. Prints one JSON line per step: seconds, tasks of the
-longest stage, and how its slowest task compares with its median task.
+times from Spark's event log. Prints a JSON line per step, and one per stage that reads
+a tenth of the rows or more: how its slowest and largest tasks compare with the median.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tablesync import (  # noqa: E402
 
 HOT = 7
 MARK = "2000-01-01 00:00:00"
+READ_METRICS = (("Input Metrics", "Records Read"), ("Shuffle Read Metrics", "Total Records Read"))
 
 
 def build(spark, copies: int, path: str):
@@ -41,8 +42,8 @@ def build(spark, copies: int, path: str):
     return spark.read.parquet(path)
 
 
-def task_seconds(log_dir: str) -> dict[str, dict[int, list[float]]]:
-    """Task seconds per step (job group) and stage."""
+def task_times(log_dir: str) -> dict[str, dict[int, list[tuple[float, int]]]]:
+    """Seconds and rows read, per step (job group), stage and task."""
     groups, times = {}, defaultdict(lambda: defaultdict(list))
     for file in Path(log_dir).rglob("*"):
         if not file.is_file() or file.name.startswith((".", "appstatus")):
@@ -54,7 +55,10 @@ def task_seconds(log_dir: str) -> dict[str, dict[int, list[float]]]:
                     groups[stage_id] = event.get("Properties", {}).get("spark.jobGroup.id", "")
             elif event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in groups:
                 info = event["Task Info"]
-                times[groups[event["Stage ID"]]][event["Stage ID"]].append((info["Finish Time"] - info["Launch Time"]) / 1000)
+                metrics = event.get("Task Metrics") or {}
+                rows = sum(metrics.get(k, {}).get(n, 0) for k, n in READ_METRICS)
+                task = ((info["Finish Time"] - info["Launch Time"]) / 1000, rows)
+                times[groups[event["Stage ID"]]][event["Stage ID"]].append(task)
     return times
 
 
@@ -101,15 +105,18 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 2)
     total = rows.count()
     spark.stop()
-    times = task_seconds(f"{scratch}/events")
+    times = task_times(f"{scratch}/events")
     print(json.dumps({"rows": total, "copies": copies, "scratch": scratch}))
     for name in steps:
-        stages = times.get(name) or {0: [0.0]}
-        longest = max(stages.values(), key=sum)
-        print(json.dumps({
-            "step": name, "seconds": seconds[name], "value": str(values[name]), "tasks": len(longest),
-            "median_task": round(statistics.median(longest), 3), "slowest_task": round(max(longest), 3),
-        }))
+        print(json.dumps({"step": name, "seconds": seconds[name], "value": str(values[name])}))
+        for stage_id, tasks in sorted(times.get(name, {}).items()):
+            spans, rows_read = zip(*tasks)
+            if sum(rows_read) > total / 10:
+                print(json.dumps({
+                    "step": name, "stage": stage_id, "tasks": len(tasks),
+                    "median_seconds": round(statistics.median(spans), 3), "slowest_seconds": round(max(spans), 3),
+                    "median_rows": int(statistics.median(rows_read)), "largest_rows": max(rows_read),
+                }))
 
 
 if __name__ == "__main__":
