@@ -14,6 +14,7 @@ from tablesync import (
 )
 from tablesync.operators.watermark import Watermark
 from tablesync.session import new_path
+from tablesync.sources.jdbc import HotValue, hot_splits
 
 from .registry import LOADED_UNTIL, R_SQL, W_SQL, orders, query, restricted, table
 
@@ -209,6 +210,12 @@ def federated_anti_join(spark, sf_dir):
     return anti_join(newer, conns.read("lists", "listed"), "o_custkey", "c_custkey", "numeric")
 
 
+def _reads(source, splits):
+    """How many rows are read how often when each predicate is a read."""
+    met = [F.when(F.expr(p), 1).otherwise(0) for p in splits]
+    return source.select(sum(met[1:], met[0]).alias("reads")).groupBy("reads").agg(F.count("*").alias("n"))
+
+
 @query("SELECT 1 AS reads, count(*) AS n FROM lineitem")
 def split_read_text(spark, sf_dir):
     """The predicates of a parallel read by a text column send each row to one read,
@@ -217,5 +224,15 @@ def split_read_text(spark, sf_dir):
         F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", F.col("l_partkey").cast("string"))).alias("source")
     )
     low, high = source.agg(F.min("source"), F.max("source")).first()
-    splits = [F.when(F.expr(p), 1).otherwise(0) for p in text_splits("source", low, high, 5)]
-    return source.select(sum(splits[1:], splits[0]).alias("reads")).groupBy("reads").agg(F.count("*").alias("n"))
+    return _reads(source, text_splits("source", low, high, 5))
+
+
+@query("SELECT 1 AS reads, count(*) AS n FROM lineitem")
+def split_read_hot_text(spark, sf_dir):
+    """A text column of three values, each of which alone exceeds a ninth of the rows."""
+    source = table(spark, sf_dir, "lineitem")
+    flags = source.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_orderkey"), F.max("l_orderkey")).collect()
+    rows = sum(r["n"] for r in flags)
+    hot = [HotValue(r[0], 9 * r["n"] // rows + 1, r[2], r[3]) for r in flags if 9 * r["n"] > rows]
+    low, high = min(r[0] for r in flags), max(r[0] for r in flags)
+    return _reads(source, hot_splits("l_returnflag", "l_orderkey", text_splits("l_returnflag", low, high, 9), hot))

@@ -61,15 +61,13 @@ def watermark_ccyymm(spark, sf_dir):
     return newer_than(orders(spark, sf_dir).withColumn("ccyymm", ccyymm), "ccyymm", mark)
 
 
-@query(
-    "SELECT max_day AS watermark FROM (SELECT strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS max_day FROM lineitem)"
-)
+@query("SELECT * FROM lineitem WHERE l_shipdate = (SELECT max(l_shipdate) FROM lineitem)")
 def watermark_reused(spark, sf_dir):
-    """A mark known from earlier runs narrows the scan of the target to recent row groups."""
+    """The newest rows; a mark known from earlier runs narrows the search to recent row groups."""
     target = table(spark, sf_dir, "lineitem")
     earlier = read_watermark(target.where(F.col("l_shipdate") <= F.lit(LOADED_UNTIL).cast("timestamp_ntz")), "l_shipdate")
     mark = read_watermark(target, "l_shipdate", at_least=earlier)
-    return target.agg(F.max(F.lit(mark.text)).alias("watermark"))
+    return target.where(F.col("l_shipdate") == mark.literal(target.schema["l_shipdate"].dataType))
 
 
 @query(f"SELECT count(*) AS rows_to_load FROM orders WHERE o_orderdate > {W_SQL}", name="count_new")

@@ -1,4 +1,4 @@
-from .load import LoadResult, TargetNotEmpty, load_table, open_target, read_target, stage
+from .load import LoadResult, TargetNotEmpty, load_table, open_target, read_target, remove_replaced, stage
 from .restrict import (
     RestrictionList,
     anti_join,
@@ -12,5 +12,5 @@ from .watermark import Watermark, count_new, newer_than, read_watermark, resolve
 __all__ = [
     "LoadResult", "RestrictionList", "TargetNotEmpty", "Watermark", "anti_join", "count_new",
     "flag_restricted", "load_table", "newer_than", "only_restricted", "open_target", "prepare_list",
-    "read_target", "read_watermark", "resolve_watermark", "restriction_keys", "stage",
+    "read_target", "read_watermark", "remove_replaced", "resolve_watermark", "restriction_keys", "stage",
 ]

@@ -9,6 +9,7 @@ instead. Both assume one writer per target at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -16,11 +17,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import matching, path_exists
+from ..session import delete, matching, path_exists
 
 MODES = ("append", "truncate", "empty", "recreate")
 
 NUMBERED = "[0-9]" * 8
+UNIQUE = re.compile(r"[0-9a-f]{32}")
 
 
 class TargetNotEmpty(Exception):
@@ -58,6 +60,12 @@ class PathTarget:
             return done[starts[-1]:]
         return [self.name, *done] if path_exists(self.spark, f"{self.name}/_SUCCESS") else done
 
+    def replaced(self) -> list[str]:
+        """Numbered folders from before the current contents, unfinished ones included."""
+        current = self._loads()
+        found = matching(self.spark, f"{self.name}/{NUMBERED}-*")
+        return [p for p in found if current and _number(p) < min(map(_number, current))]
+
     def exists(self) -> bool:
         return bool(self._loads())
 
@@ -69,9 +77,8 @@ class PathTarget:
         return self.spark.read.schema(schema).parquet(*loads)
 
     def _write(self, df: DataFrame, kind: str) -> None:
-        taken = [p.rsplit("/", 1)[1] for p in matching(self.spark, f"{self.name}/{NUMBERED}-*")]
-        number = int(taken[-1].split("-")[0]) + 1 if taken else 1
-        df.write.parquet(f"{self.name}/{number:08d}-{kind}")
+        taken = matching(self.spark, f"{self.name}/{NUMBERED}-*")
+        df.write.parquet(f"{self.name}/{max(map(_number, taken), default=0) + 1:08d}-{kind}")
 
     def create(self, df: DataFrame) -> None:
         self._write(df, "replace")
@@ -98,6 +105,16 @@ class TableTarget:
         base = self._base or self.spark.conf.get("spark.sql.warehouse.dir")
         return f"{base.rstrip('/')}/{self.name.replace('.', '/')}/{uuid.uuid4().hex}"
 
+    def replaced(self) -> list[str]:
+        """Locations this library gave the table before, beside the current one."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'")
+        current = described.first()["data_type"]
+        parent, _, name = current.rpartition("/")
+        if not parent.endswith("/" + self.name.replace(".", "/")) or not UNIQUE.fullmatch(name):
+            return []
+        beside = matching(self.spark, f"{parent}/*")
+        return [p for p in beside if UNIQUE.fullmatch(p.rpartition("/")[2]) and p.rpartition("/")[2] != name]
+
     def _partition_columns(self) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
 
@@ -156,6 +173,23 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     return opened.read() if opened.exists() else None
 
 
+def remove_replaced(spark: SparkSession, target: str) -> int:
+    """Delete what truncate and recreate loads have replaced; how many folders that was.
+
+    For when no query still reads, and no load still writes, the target.
+    """
+    folders = open_target(spark, target).replaced()
+    for folder in folders:
+        delete(spark, folder)
+    return len(folders)
+
+
+def _number(folder: str) -> int:
+    """The number of a load's folder; 0 for the target's own folder."""
+    name = folder.rpartition("/")[2]
+    return int(name[:8]) if re.match(r"\d{8}-", name) else 0
+
+
 def _new_fields(df: DataFrame, schema: T.StructType, target: str, allowed: bool) -> list[T.StructField]:
     """Columns of df that the target lacks, which only an add_columns load may bring."""
     known = {f.name.lower() for f in schema}

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,12 +54,13 @@ def _distinct_keys(df: DataFrame, key: Column) -> DataFrame:
     return keys.where(F.col(KEY).isNotNull()).distinct()
 
 
+def _size_metric() -> Column:
+    """Bytes the keys take in a hash table."""
+    return F.coalesce(F.sum(F.octet_length(F.col(KEY).cast("string")) + ROW_OVERHEAD), F.lit(0)).alias("n_bytes")
+
+
 def _size(keys: DataFrame) -> int:
-    """Bytes the keys take in a hash table: one aggregate, one row to the driver."""
-    n, chars = keys.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(KEY).cast("string"))), F.lit(0))
-    ).first()
-    return n * ROW_OVERHEAD + chars
+    return keys.agg(_size_metric()).first()[0]
 
 
 def prepare_list(
@@ -71,9 +72,11 @@ def prepare_list(
     many tables meet the same list, or when reading the list is expensive.
     """
     keys = _distinct_keys(restricted, normalise_key(right_key, normalise, "list"))
-    if materialise:
-        keys = written(keys, "restricted")
-    return RestrictionList(keys, normalise, _size(keys), restricted.schema)
+    if not materialise:
+        return RestrictionList(keys, normalise, _size(keys), restricted.schema)
+    seen = Observation()
+    keys = written(keys.observe(seen, _size_metric()), "restricted")
+    return RestrictionList(keys, normalise, seen.get["n_bytes"], restricted.schema)
 
 
 def _as_list(restricted, right_key, normalise) -> RestrictionList:
@@ -141,6 +144,8 @@ def anti_join(
 ) -> DataFrame:
     """Rows of df whose id is not on the list. A null id is never on it.
 
+    The list is measured now, by a job of its own; the join itself stays lazy. A list
+    that is costly to read, or met by several tables, is better prepared once.
     keep_right adds the list's columns, prefixed r_. They are null throughout, as in
     `select *` over the outer join that this replaces.
     """

@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.jdbc import SPLITS
+
 # Fields of an entry.
 FIELDS = ("action", "datecolumn", "dntl", "gcptable", "query", "server", "splitby", "tablename")
 
 # Fields that keep their case.
-AS_WRITTEN = ("dntl", "query", "restrict_key")
+AS_WRITTEN = ("dntl", "query", "restrict_key", "read_by", "read_then_by")
 
-# Our own, optional: a declared restriction in place of SQL text. dntl is its source key.
-OPTIONS = ("restrict_server", "restrict_table", "restrict_key", "normalise", "keep_right", "precision", "extract")
+# Our own, optional. A declared restriction in place of SQL text, dntl being its source
+# key; how the mark is cut and used; a parallel read of a database; clean text.
+OPTIONS = (
+    "restrict_server", "restrict_table", "restrict_key", "normalise", "keep_right",
+    "precision", "extract", "read_by", "read_then_by", "read_parts", "scrub",
+)
 
 # Texts that mean that a field is empty.
 BLANKS = ("", "none", "nan", "null")
@@ -74,16 +80,27 @@ class Entry:
     keep_right: bool
     precision: str
     extract: str | None
+    read_by: str | None
+    read_then_by: str | None
+    read_parts: int
+    scrub: bool
 
     @classmethod
     def of(cls, position: int, row: Row) -> Entry:
         values = row.asDict()
         values.pop("name")
         values["normalise"] = values["normalise"] or "plain"
-        values["keep_right"] = values["keep_right"] in ("true", "yes", "1")
         values["precision"] = values["precision"] or "micro"
+        values["read_parts"] = int(values["read_parts"] or SPLITS)
+        for switch in ("keep_right", "scrub"):
+            values[switch] = values[switch] in ("true", "yes", "1")
         return cls(position, **values)
 
+    @property
+    def split_read(self) -> dict:
+        """How read_jdbc divides this entry's read."""
+        return {"split_by": self.read_by, "then_by": self.read_then_by, "num_partitions": self.read_parts}
+
     @property
     def uses_mark(self) -> bool:
         """Does the extract itself filter by the mark, or only the decision to run it?"""

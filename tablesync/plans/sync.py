@@ -15,6 +15,7 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.clean import scrub_delims
 from ..operators.load import LoadResult, load_table, read_target, stage
 from ..operators.restrict import RestrictionList, anti_join, prepare_list
 from ..operators.watermark import EPOCH, Watermark, count_new, newer_than, read_watermark
@@ -92,10 +93,15 @@ class _Run:
         return bind_query(p.entry.query, p.entry.tablename, p.entry.datecolumn, text)
 
     def extract(self, p: Pending) -> DataFrame:
+        rows = self._extract(p)
+        return scrub_delims(rows) if p.entry.scrub else rows
+
+    def _extract(self, p: Pending) -> DataFrame:
         entry = p.entry
+        split = entry.split_read if self.conns.is_jdbc(entry.server) else {}
         if entry.query is not None and self.conns.is_jdbc(entry.server):
-            return self.conns.read(entry.server, self.bound_query(p))
-        source = self.conns.read(entry.server, entry.tablename)
+            return self.conns.read(entry.server, self.bound_query(p), **split)
+        source = self.conns.read(entry.server, entry.tablename, **split)
         if entry.query is not None:
             view = f"tablesync_source_{entry.position}"
             source.createOrReplaceTempView(view)

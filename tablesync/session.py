@@ -57,6 +57,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, sorted; one listing however many there are."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -161,6 +161,21 @@ def test_export_reads_the_whole_tree(spark, tmp_path, monkeypatch):
     assert written == {"dbo.target": (15, "append")}
 
 
+def test_an_import_job_as_an_entry(spark, sent, tmp_path):
+    """Parallel by a text column, control characters dropped, the target replaced."""
+    spark.range(60).selectExpr("id", "concat('a\n', id) AS source").createOrReplaceTempView("jdbc_events")
+    fields = {"action": "truncate", "gcptable": "events", "server": "src", "tablename": "jdbc_events", "scrub": "true",
+              "query": "select * from jdbc_events where $CONDITIONS",
+              "read_by": "source", "read_parts": "4", "read_then_by": "id"}
+    manifest = manifest_rows(spark.createDataFrame([tuple(fields.get(f) for f in RAW_SCHEMA.names)], RAW_SCHEMA))
+    conns = Connections(spark, {"src": {"format": "jdbc", **CONN}})
+    for _ in range(2):
+        audit = sync_manifest(spark, manifest, conns, str(tmp_path)).first()
+        assert (audit["status"], audit["rows_total"]) == ("loaded", 60)
+    assert len(sent[-1][1]) == 5
+    assert read_target(spark, f"{tmp_path}/events").where("source = concat('a', id)").count() == 60
+
+
 def test_manifest_queries_are_shipped_to_the_database(spark, sent, tmp_path):
     """Count and extract run in the source; the bound text carries the mark."""
     rows = spark.range(10).selectExpr("id", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int)) AS upd")

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync import TargetNotEmpty, load_audit, load_table, read_files, read_target, stage
+from tablesync import TargetNotEmpty, load_audit, load_table, read_files, read_target, remove_replaced, stage
 from tablesync.operators.load import PathTarget
 
 
@@ -85,6 +85,28 @@ def test_failed_load_leaves_the_target(spark, target):
         assert held(spark, target) == before
 
 
+def test_replaced_data_can_be_removed(spark, target):
+    load_table(numbers(spark, 0, 3), target)
+    load_table(numbers(spark, 3, 5), target, "append")
+    assert remove_replaced(spark, target) == 0
+    load_table(numbers(spark, 5, 6), target, "truncate")
+    load_table(numbers(spark, 6, 7), target, "recreate")
+    load_table(numbers(spark, 7, 8), target, "append")
+    before = remove_replaced(spark, target)
+    assert before == (3 if "/" in target else 2)
+    assert remove_replaced(spark, target) == 0
+    assert held(spark, target) == [(6, "n6"), (7, "n7")]
+
+
+def test_removal_spares_what_is_not_ours(spark, tmp_path):
+    """A table made elsewhere has neighbours, and a plain folder has its own files."""
+    numbers(spark, 0, 2).write.option("path", str(tmp_path / ("a" * 32))).saveAsTable("default.made_elsewhere")
+    numbers(spark, 0, 2).write.parquet(str(tmp_path / ("b" * 32)))
+    assert remove_replaced(spark, "default.made_elsewhere") == 0
+    assert remove_replaced(spark, str(tmp_path / ("b" * 32))) == 0
+    spark.sql("DROP TABLE default.made_elsewhere")
+
+
 def test_unfinished_load_is_not_read(spark, tmp_path):
     target = str(tmp_path / "target")
     load_table(numbers(spark, 0, 3), target)
