@@ -231,8 +231,7 @@ def split_read_text(spark, sf_dir):
 def split_read_hot_text(spark, sf_dir):
     """A text column of three values, each of which alone exceeds a ninth of the rows."""
     source = table(spark, sf_dir, "lineitem")
-    flags = source.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_orderkey"), F.max("l_orderkey")).collect()
-    rows = sum(r["n"] for r in flags)
-    hot = [HotValue(r[0], 9 * r["n"] // rows + 1, r[2], r[3]) for r in flags if 9 * r["n"] > rows]
-    low, high = min(r[0] for r in flags), max(r[0] for r in flags)
+    rows, low, high = source.agg(F.count("*"), F.min("l_returnflag"), F.max("l_returnflag")).first()
+    counted = source.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_orderkey"), F.max("l_orderkey"))
+    hot = [HotValue(v, 9 * n // rows + 1, lo, hi) for v, n, lo, hi in counted.where(F.col("n") * 9 > rows).collect()]
     return _reads(source, hot_splits("l_returnflag", "l_orderkey", text_splits("l_returnflag", low, high, 9), hot))

@@ -32,6 +32,7 @@ HOT = "__restricted_hot"
 PIECES = "__restricted_pieces"
 
 BROADCAST_LIMIT = 128 * 1024 * 1024  # bytes of keys, row overhead included
+HASH_LIMIT = 32 * 1024 * 1024  # bytes of keys in one partition of a shuffled hash join
 ROW_OVERHEAD = 48  # bytes a hashed row needs beyond its key
 SHARES = 1000  # an id is hot when it holds more than this fraction of the rows
 
@@ -100,7 +101,7 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, unhashable)])
 
 
-def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, how: str) -> DataFrame:
+def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, n_bytes: int, how: str) -> DataFrame:
     rows = counted.agg(F.sum(ROWS)).first()[0] or 0
     share = max(rows // SHARES, 1)
     counted = counted.withColumn(PIECES, F.ceil(F.col(ROWS) / share).cast("int"))
@@ -112,7 +113,10 @@ def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, how: str
         KEY, F.explode(F.sequence(F.lit(0), F.col(PIECES) - 1)).alias(f"{SALT}_listed")
     )
     matches = (source_key == F.col(KEY)) & (F.col(SALT) == F.col(f"{SALT}_listed"))
-    return source.join(listed.hint("merge"), matches, how)
+    # A hash join spares the source a sort; the list's share of a partition must fit.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strategy = "shuffle_hash" if n_bytes / partitions <= HASH_LIMIT else "merge"
+    return source.join(listed.hint(strategy), matches, how)
 
 
 def _join(
@@ -124,9 +128,10 @@ def _join(
         return df.join(F.broadcast(listed.keys), source_key == F.col(KEY), how)
     counted = _counted(df, source_key, listed.keys)
     present = counted.where(LISTED).select(KEY)
-    if _size(present) <= limit:
+    n_bytes = _size(present)
+    if n_bytes <= limit:
         return df.join(F.broadcast(present), source_key == F.col(KEY), how)
-    return _salted_join(df, source_key, counted, how)
+    return _salted_join(df, source_key, counted, n_bytes, how)
 
 
 def _columns(df: DataFrame) -> list[Column]:

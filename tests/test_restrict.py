@@ -71,11 +71,18 @@ def test_a_list_beyond_the_limit_is_never_broadcast(spark):
     listed = spark.range(50).toDF("rid")
     out = anti_join(spark.range(2000), listed, "id", "rid", limit=0)
     text = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in text and "LeftAnti" in text
+    assert "ShuffledHashJoin" in text.split("LeftAnti")[0]
     assert "BroadcastHashJoin" not in text.split("LeftAnti")[0]
     assert out.count() == 1950
 
 
+def test_a_list_too_long_for_hashing_is_merged(spark, monkeypatch):
+    monkeypatch.setattr(restrict, "HASH_LIMIT", 0)
+    out = anti_join(spark.range(2000), spark.range(50).toDF("rid"), "id", "rid", limit=0)
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString().split("LeftAnti")[0]
+    assert out.count() == 1950
+
+
 def test_hot_ids_are_spread(spark):
     """A third of the rows has one id, a third none: no (id, salt) group keeps much."""
     source = spark.range(30_000).select(
@@ -83,7 +90,7 @@ def test_hot_ids_are_spread(spark):
     )
     listed = spark.range(0, 30_000, 2).select(F.col("id").alias("rk"))
     counted = restrict._counted(source, F.col("k"), prepare_list(listed, "rk").keys)
-    joined = restrict._salted_join(source, F.col("k"), counted, "left")
+    joined = restrict._salted_join(source, F.col("k"), counted, 0, "left")
     assert joined.count() == 30_000
     largest = joined.groupBy("k", restrict.SALT).count().agg(F.max("count")).first()[0]
     assert largest < 3 * 30_000 / restrict.SHARES
