@@ -165,7 +165,7 @@ def run_log_parse(spark, sf_dir):
     number, kind = F.col("event_id").cast("string"), F.col("event_type")
     message = (
         F.when(kind == "click", F.concat(F.lit("Rows to load = "), number))
-        .when(kind == "error", F.concat(F.lit("GCP table:target  last_updt_ts Max date = "), logged))
+        .when(kind == "error", F.concat(F.lit("Target table:target  last_updt_ts Max date = "), logged))
         .when(kind == "view", F.concat(
             F.lit("Total rows added for a.b.c = -"), number,
             F.lit(" for a total table count of "), F.col("user_id").cast("string")))

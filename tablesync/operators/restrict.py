@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,12 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, unhashable)])
 
 
+def _partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle before Spark merges small ones."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, n_bytes: int, how: str) -> DataFrame:
     rows = counted.agg(F.sum(ROWS)).first()[0] or 0
     share = max(rows // SHARES, 1)
@@ -114,18 +120,29 @@ def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, n_bytes:
     )
     matches = (source_key == F.col(KEY)) & (F.col(SALT) == F.col(f"{SALT}_listed"))
     # A hash join spares the source a sort; the list's share of a partition must fit.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strategy = "shuffle_hash" if n_bytes / partitions <= HASH_LIMIT else "merge"
+    strategy = "shuffle_hash" if n_bytes / _partitions(df.sparkSession) <= HASH_LIMIT else "merge"
     return source.join(listed.hint(strategy), matches, how)
 
 
 def _join(
-    df: DataFrame, left_key: str, listed: RestrictionList, how: str, limit: int = BROADCAST_LIMIT
+    df: DataFrame,
+    left_key: str,
+    listed: RestrictionList,
+    how: str,
+    limit: int = BROADCAST_LIMIT,
+    changing: bool = False,
 ) -> DataFrame:
-    """df joined with the list's keys; columns beside df's own are for the caller to drop."""
+    """df joined with the list's keys; columns beside df's own are for the caller to drop.
+
+    A list beyond the limit means two passes over df. If its source is changing, such as
+    a live database, the rows are written first: a row that arrives between the passes
+    would otherwise escape the list, having an id that was not counted.
+    """
     source_key = normalise_key(left_key, listed.kind, "source")
     if listed.fits(limit):
         return df.join(F.broadcast(listed.keys), source_key == F.col(KEY), how)
+    if changing:
+        df = written(df, "source")
     counted = _counted(df, source_key, listed.keys)
     present = counted.where(LISTED).select(KEY)
     n_bytes = _size(present)
@@ -150,7 +167,8 @@ def anti_join(
     """Rows of df whose id is not on the list. A null id is never on it.
 
     The list is measured now, by a job of its own; the join itself stays lazy. A list
-    that is costly to read, or met by several tables, is better prepared once.
+    that is costly to read, or met by several tables, is better prepared once. Say
+    changing=True if df reads a source that may get rows meanwhile.
     keep_right adds the list's columns, prefixed r_. They are null throughout, as in
     `select *` over the outer join that this replaces.
     """

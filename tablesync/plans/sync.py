@@ -110,7 +110,8 @@ class _Run:
             source = newer_than(source, entry.datecolumn, p.mark)
         if entry.restrict_table is None:
             return source
-        return anti_join(source, self._list(entry), entry.dntl, keep_right=entry.keep_right)
+        live = self.conns.is_jdbc(entry.server)
+        return anti_join(source, self._list(entry), entry.dntl, keep_right=entry.keep_right, changing=live)
 
     def _list(self, entry: Entry) -> RestrictionList:
         """Lists are few and shared by many entries, so each is reduced once per run."""

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 # A log line, and the messages that carry a value.
 LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d+)?) - (\S+) (.*)$"
-MARK = r"GCP table:\s*(\S+)\s+(\S+) Max date = (.*)$"
+MARK = r" Max date = (.*)$"
 TO_LOAD = r"Rows to load = (\d+)"
 ADDED = r"Total rows added for (\S+) = (-?\d+) for a total table count of (\d+)"
 EVENTS = {
     "Starting": "start",
     "No date comparison": "full",
-    "GCP table:": "watermark",
+    "Max date =": "watermark",
     "Rows to load =": "count",
     "does not have any new rows": "up_to_date",
     "Getting data": "extract",
@@ -38,13 +38,13 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     )
     event = F.lit("other")
     for text, name in reversed(EVENTS.items()):
-        event = F.when(F.col("message").startswith(text), name).otherwise(event)
+        event = F.when(F.col("message").contains(text), name).otherwise(event)
     return fields.select(
         "logged_at",
         "table_name",
         event.alias("event"),
         "message",
-        _part("message", MARK, 3).alias("watermark"),
+        _part("message", MARK, 1).alias("watermark"),
         _part("message", TO_LOAD, 1).cast("bigint").alias("rows_to_load"),
         _part("message", ADDED, 2).cast("bigint").alias("rows_added"),
         _part("message", ADDED, 3).cast("bigint").alias("rows_total"),

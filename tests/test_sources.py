@@ -68,7 +68,7 @@ def test_long_members_come_in_parts(monkeypatch):
 def test_run_log(spark, tmp_path):
     (tmp_path / "run.log").write_text(
         "2024-02-03 19:50:51.816770 - sales.accounts Starting\n"
-        "2024-02-03 19:50:53.578064 - sales.accounts GCP table:accounts  upd_ts Max date = 2024-01-06 03:09:03\n"
+        "2024-02-03 19:50:53.578064 - sales.accounts Target table:accounts  upd_ts Max date = 2024-01-06 03:09:03\n"
         "2024-02-03 19:51:00.438316 - sales.accounts Rows to load = 3140759\n"
         "2024-02-03 19:51:02 - sales.accounts Getting data from source\n"
         "2024-02-03 19:51:03 - sales.accounts Writing parquet data to output directory.\n"

@@ -11,7 +11,7 @@ from tablesync.plans.sqljob import statements
 YAML = """
 - action: Append
   datecolumn: Snapshot_DT
-  dntl: CBU_CID
+  dntl: CUST_ID
   gcptable: Contracts_Master
   query: ' select t1.* from $1 t1 where $2 > ''$3'''
   server: SRC01
@@ -32,7 +32,7 @@ def test_yaml_manifest(spark, tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "m.yml").write_text(YAML)
     first, second = load_manifest(spark, str(tmp_path / "m.yml")).collect()
-    assert first["action"] == "append" and first["datecolumn"] == "snapshot_dt" and first["dntl"] == "CBU_CID"
+    assert first["action"] == "append" and first["datecolumn"] == "snapshot_dt" and first["dntl"] == "CUST_ID"
     assert first["gcptable"] == "contracts_master" and first["server"] == "src01" and first["splitby"] is None
     assert first["query"] == "select t1.* from $1 t1 where $2 > '$3'"
     assert (first["tablename"], first["name"]) == ("dw.contracts.dbo.contracts_master", "contracts_master")
