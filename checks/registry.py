@@ -32,6 +32,11 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+def as_text(df: DataFrame, *cols: str) -> DataFrame:
+    """Whole numbers that may be null as text, which every client reads the same way."""
+    return df.withColumns({c: F.col(c).cast("string") for c in cols})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,7 @@ from tablesync import (
     anti_join, flag_restricted, newer_than, only_restricted, prepare_list, read_watermark, restriction_keys,
 )
 
-from .registry import R_SQL, W_SQL, loaded_orders, orders, query, restricted, table
+from .registry import R_SQL, W_SQL, as_text, loaded_orders, orders, query, restricted, table
 
 
 @query(f"SELECT o.* FROM orders o LEFT JOIN {R_SQL} r ON o.o_custkey = r.c_custkey WHERE r.c_custkey IS NULL")
@@ -56,22 +56,24 @@ def anti_join_numeric(spark, sf_dir):
 
 
 @query(
-    "SELECT o.*, r.c_custkey AS r_c_custkey, r.c_name AS r_c_name, r.c_nationkey AS r_c_nationkey, r.c_acctbal AS r_c_acctbal, "
+    "SELECT o.*, cast(r.c_custkey AS varchar) AS r_c_custkey, r.c_name AS r_c_name, cast(r.c_nationkey AS varchar) AS r_c_nationkey, r.c_acctbal AS r_c_acctbal, "
     f"r.c_mktsegment AS r_c_mktsegment FROM orders o LEFT JOIN {R_SQL} r ON o.o_custkey = r.c_custkey WHERE r.c_custkey IS NULL"
 )
 def anti_join_star(spark, sf_dir):
-    return anti_join(orders(spark, sf_dir), restricted(spark, sf_dir), "o_custkey", "c_custkey", keep_right=True)
+    kept = anti_join(orders(spark, sf_dir), restricted(spark, sf_dir), "o_custkey", "c_custkey", keep_right=True)
+    return as_text(kept, "r_c_custkey", "r_c_nationkey")
 
 
 @query(
-    "SELECT o.* FROM (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS cust_id FROM orders) o "
+    "SELECT o.* REPLACE (cast(cust_id AS varchar) AS cust_id) "
+    "FROM (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS cust_id FROM orders) o "
     f"LEFT JOIN {R_SQL} r ON o.cust_id = r.c_custkey WHERE r.c_custkey IS NULL"
 )
 def anti_join_null_keys(spark, sf_dir):
     """A null id is never restricted."""
     cust_id = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
     source = orders(spark, sf_dir).withColumn("cust_id", cust_id)
-    return anti_join(source, restricted(spark, sf_dir), "cust_id", "c_custkey")
+    return as_text(anti_join(source, restricted(spark, sf_dir), "cust_id", "c_custkey"), "cust_id")
 
 
 @query(

@@ -16,7 +16,7 @@ from tablesync.operators.watermark import Watermark
 from tablesync.session import new_path
 from tablesync.sources.jdbc import HotValue, hot_splits
 
-from .registry import LOADED_UNTIL, R_SQL, W_SQL, orders, query, restricted, table
+from .registry import LOADED_UNTIL, R_SQL, W_SQL, as_text, orders, query, restricted, table
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -153,9 +153,9 @@ _LOG_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
     f"""SELECT ts AS logged_at, 'dm.' || event_type AS table_name,
     CASE event_type WHEN 'click' THEN 'count' WHEN 'error' THEN 'watermark' WHEN 'view' THEN 'loaded' ELSE 'start' END AS event,
     CASE WHEN event_type = 'error' THEN {_LOG_SQL} END AS watermark,
-    CASE WHEN event_type = 'click' THEN event_id END AS rows_to_load,
-    CASE WHEN event_type = 'view' THEN -event_id END AS rows_added,
-    CASE WHEN event_type = 'view' THEN user_id END AS rows_total FROM events"""
+    CASE WHEN event_type = 'click' THEN cast(event_id AS varchar) END AS rows_to_load,
+    CASE WHEN event_type = 'view' THEN cast(-event_id AS varchar) END AS rows_added,
+    CASE WHEN event_type = 'view' THEN cast(user_id AS varchar) END AS rows_total FROM events"""
 )
 def run_log_parse(spark, sf_dir):
     """Log lines of four kinds, one per event."""
@@ -172,7 +172,7 @@ def run_log_parse(spark, sf_dir):
         .otherwise("Starting")
     )
     events.select(F.concat(logged, F.lit(" - dm."), kind, F.lit(" "), message).alias("value")).write.text(path)
-    return parse_run_logs(spark, path).drop("message")
+    return as_text(parse_run_logs(spark, path).drop("message"), "rows_to_load", "rows_added", "rows_total")
 
 
 @query("SELECT doc_id, translate(text, chr(10) || chr(13) || chr(1), '') AS text, lang, source, n_chars FROM documents", name="scrub_delims")

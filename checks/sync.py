@@ -4,7 +4,7 @@ from tablesync import Connections, load_table, manifest_rows, plan_manifest, rea
 from tablesync.plans.manifest import RAW_SCHEMA
 from tablesync.session import new_path
 
-from .registry import R_SQL, T_SQL, W_SQL, loaded_orders, orders, query, restricted
+from .registry import R_SQL, T_SQL, W_SQL, as_text, loaded_orders, orders, query, restricted
 
 KEPT = f"o_custkey NOT IN (SELECT c_custkey FROM {R_SQL})"
 NEWER = f"o_orderdate > {W_SQL}"
@@ -114,7 +114,10 @@ _LINES = f"(SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT c_custk
 
 
 @query(
-    f"""WITH n AS (SELECT (SELECT count(*) FROM {T_SQL}) t, (SELECT count(*) FROM orders) o,
+    f"""SELECT * REPLACE (cast(rows_to_load AS varchar) AS rows_to_load, cast(rows_before AS varchar) AS rows_before,
+      cast(rows_written AS varchar) AS rows_written, cast(rows_total AS varchar) AS rows_total,
+      cast(net_change AS varchar) AS net_change) FROM (
+    WITH n AS (SELECT (SELECT count(*) FROM {T_SQL}) t, (SELECT count(*) FROM orders) o,
       (SELECT count(*) FROM orders WHERE {NEWER}) newer, (SELECT count(*) FROM orders WHERE {NEWER} AND {KEPT}) kept,
       (SELECT count(*) FROM lineitem) l, {_LINES} lk, (SELECT count(*) FROM events) e)
     SELECT 1 AS position, 'orders' AS table_name, 'orders_inc' AS target, 'incremental' AS pattern, {_MARK} AS watermark,
@@ -123,29 +126,30 @@ _LINES = f"(SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT c_custk
     UNION ALL SELECT 2, 'orders', 'orders_full', 'full', {_EPOCH}, NULL, 0, o, o, o, 'loaded', NULL FROM n
     UNION ALL SELECT 3, 'lineitem', 'lineitem_inc', 'incremental', {_EPOCH}, l, 0, lk, lk, lk, 'loaded', NULL FROM n
     UNION ALL SELECT 4, 'events', 'events_inc', 'incremental', {_EPOCH}, e, 0, e, e, e, 'loaded', NULL FROM n
-    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', {_EPOCH}, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST}""",
+    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', {_EPOCH}, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST})""",
     name="sync_manifest",
 )
 def sync_manifest_run(spark, sf_dir):
     """Several entries, one of which names a source that does not exist."""
     root = _with_loaded_orders(spark, sf_dir)
     audit = sync_manifest(spark, _several(spark), _connections(spark, sf_dir), root, parallel=3)
-    return audit.drop("run_at", "action", "report_max")
+    counts = ("rows_to_load", "rows_before", "rows_written", "rows_total", "net_change")
+    return as_text(audit.drop("run_at", "action", "report_max"), *counts)
 
 
 @query(
     f"""SELECT 1 AS position, 'files' AS server, 'append' AS action, 'o_orderdate' AS datecolumn, 'orders_inc' AS target,
-      {_MARK} AS watermark, (SELECT count(*) FROM orders WHERE {NEWER}) AS rows_to_load, 'pending' AS status
+      {_MARK} AS watermark, cast((SELECT count(*) FROM orders WHERE {NEWER}) AS varchar) AS rows_to_load, 'pending' AS status
     UNION ALL SELECT 2, 'files', 'truncate', NULL, 'orders_full', {_EPOCH}, NULL, 'pending'
-    UNION ALL SELECT 3, 'files', 'append', 'l_shipdate', 'lineitem_inc', {_EPOCH}, (SELECT count(*) FROM lineitem), 'pending'
-    UNION ALL SELECT 4, 'files', 'append', 'ts', 'events_inc', {_EPOCH}, (SELECT count(*) FROM events), 'pending'
+    UNION ALL SELECT 3, 'files', 'append', 'l_shipdate', 'lineitem_inc', {_EPOCH}, cast((SELECT count(*) FROM lineitem) AS varchar), 'pending'
+    UNION ALL SELECT 4, 'files', 'append', 'ts', 'events_inc', {_EPOCH}, cast((SELECT count(*) FROM events) AS varchar), 'pending'
     UNION ALL SELECT 5, 'nowhere', 'append', 'o_orderdate', 'lost', {_EPOCH}, NULL, 'error'""",
     name="plan_manifest",
 )
 def plan_manifest_run(spark, sf_dir):
     root = _with_loaded_orders(spark, sf_dir)
     plan = plan_manifest(spark, _several(spark), _connections(spark, sf_dir), root)
-    return plan.drop("query", "pattern", "error")
+    return as_text(plan.drop("query", "pattern", "error"), "rows_to_load")
 
 
 @query(
