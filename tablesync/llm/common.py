@@ -188,3 +188,29 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     scratch.drop(links_at)
     least = labels.groupBy("label").agg(F.min("node").alias("component"))
     return labels.join(least, "label").select("node", "component")
+
+
+def runs(batches, keys: list[str]):
+    """Consecutive rows with equal keys, as Arrow tables, from batches that are sorted by them.
+
+    keys are whole numbers without nulls. A run may span batches; one is held at a time.
+    """
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, part]) if held is not None else part
+        if not held.num_rows:
+            continue
+        differs = np.zeros(held.num_rows - 1, dtype=bool)
+        for key in keys:
+            values = held.column(key).to_numpy()
+            differs |= values[1:] != values[:-1]
+        starts = [0, *(np.flatnonzero(differs) + 1).tolist()]
+        held = held.combine_chunks()
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield held.slice(a, b - a)
+        held = held.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, sketches
+from . import mixing, packing, passages, quality, simhash, sketches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -63,3 +63,19 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens packed into sequences of 2048."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document shares with one of a smaller id."""
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+# Target shares of the sources; what has none of its own shares one.
+WEIGHTS = {f"src{i}": 1 + i % 4 for i in range(20)}
+
+
+@query(mixing.sql(WEIGHTS, rest=1))
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block, window, slot and position in the mix."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), WEIGHTS, rest=1)
