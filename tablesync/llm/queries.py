@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, passages, quality, simhash, sketches
+from . import mixing, packing, passages, quality, simhash, sketches, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -79,3 +79,20 @@ WEIGHTS = {f"src{i}": 1 + i % 4 for i in range(20)}
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, window, slot and position in the mix."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), WEIGHTS, rest=1)
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query(urls.sql(RULES))
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, winning rule and verdict of every page's URL."""
+    rules = spark.createDataFrame(RULES, "action string, host string, path string")
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query()
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of every page's response record."""
+    record = warc.response_record(F.col("page_id"), F.col("url"), F.col("html"), "2024-01-01T00:00:00Z")
+    return warc.build_derivatives(table(spark, sf_dir, "pages").withColumn("record", record), keep=["page_id"])
