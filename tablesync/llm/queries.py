@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, passages, quality, simhash, sketches, urls, warc
+from . import covertree, mixing, packing, passages, quality, simhash, sketches, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -96,3 +96,9 @@ def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metadata and conversion records of every page's response record."""
     record = warc.response_record(F.col("page_id"), F.col("url"), F.col("html"), "2024-01-01T00:00:00Z")
     return warc.build_derivatives(table(spark, sf_dir, "pages").withColumn("record", record), keep=["page_id"])
+
+
+@query()
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 or more between all vectors of equal label, and the groups they make."""
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
