@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, mixing, packing, passages, quality, simhash, sketches, urls, warc
+from . import covertree, mixing, packing, passages, quality, quotes, simhash, sketches, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,3 +102,9 @@ def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.93 or more between all vectors of equal label, and the groups they make."""
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query()
+def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, sent as mail that quotes two levels, put in reply order without quotes."""
+    return quotes.conversations(quotes.with_quotes(table(spark, sf_dir, "conversations")))
