@@ -29,7 +29,7 @@ from .common import column, free_name
 
 BLOCK = 16
 MOST_SLOTS = 10_000
-ROWS_PER_PIECE = 16_384
+ROWS_PER_PIECE = 2048
 
 
 def _longs(values: list[int]) -> Column:
