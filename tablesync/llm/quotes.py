@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -129,19 +130,24 @@ def _links(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _threads(parents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(conv, turn, root, depth): a message's first ancestor and how far it is, by pointer doubling."""
-    node = parents.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))
-    node, path = scratch.save(node, "pointers")
+    """(conv, turn, root, depth): a message's first ancestor and how far it is, by pointer doubling.
+
+    A message whose pointer has reached a root takes no part in later rounds.
+    """
+    active = parents.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))
+    active, _ = scratch.save(active, "pointers")
+    done = []
     while True:
-        up = node.select(F.struct("conv", "turn").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"))
-        moved = node.join(up, "root", "left").select(
+        known = reduce(DataFrame.union, [*done, active])
+        up = known.select(F.struct("conv", "turn").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"))
+        moved = active.join(up, "root", "left").select(
             "conv", "turn", F.coalesce("above", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.col("above").isNotNull().alias("moved"))
-        moved, moved_path = scratch.save(moved, "pointers")
-        scratch.drop(path)
-        node, path = moved.drop("moved"), moved_path
-        if moved.where("moved").isEmpty():
-            return node
+        moved, _ = scratch.save(moved, "pointers")
+        done.append(moved.where("not moved").drop("moved"))
+        active = moved.where("moved").drop("moved")
+        if active.isEmpty():
+            return reduce(DataFrame.union, done)
 
 
 def ranked(rows: DataFrame, group: list[str], order: list[str], out: str, scratch: Scratch) -> DataFrame:
