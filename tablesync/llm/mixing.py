@@ -94,7 +94,8 @@ def mix(docs: DataFrame, weights: dict[str | None, int], rest: int = 1, block: i
     shares = _shares(weights, rest)
     total, n_sources = sum(shares), len(shares)
     names = {c: free_name(docs, c) for c in (
-        "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position", "mix_source", "mix_key", "mix_piece", "mix_rank")}
+        "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position", "mix_source", "mix_key", "mix_piece", "mix_rank",
+        "mix_of", "mix_in", "mix_ahead", "mix_i", "mix_k", "mix_at", "mix_before")}
     source, key, piece, rank = (names[c] for c in ("mix_source", "mix_key", "mix_piece", "mix_rank"))
 
     index = F.lit(n_sources - 1)
@@ -114,28 +115,30 @@ def mix(docs: DataFrame, weights: dict[str | None, int], rest: int = 1, block: i
     sizes = rows.groupBy(source, piece).count()
     earlier = Window.partitionBy(source).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(
-        F.col(source).alias("of"), F.col(piece).alias("in"), F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"))
+        F.col(source).alias(names["mix_of"]), F.col(piece).alias(names["mix_in"]),
+        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias(names["mix_ahead"]))
     plain = [column(f.name) for f in docs.schema if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
     order = Window.partitionBy(source, piece).orderBy(key, column(id_col), F.xxhash64(*plain) if plain else F.lit(0))
     rows = rows.withColumn(rank, F.row_number().over(order) - 1)
-    rows = rows.join(sizes.hint("merge"), (F.col(source) == F.col("of")) & (F.col(piece) == F.col("in")))
-    rows = rows.withColumn(rank, F.col(rank) + F.col("ahead")).drop("of", "in", "ahead")
+    rows = rows.join(sizes.hint("merge"), (F.col(source) == F.col(names["mix_of"])) & (F.col(piece) == F.col(names["mix_in"])))
+    rows = rows.withColumn(rank, F.col(rank) + F.col(names["mix_ahead"]))
 
-    table = cycle(spark, shares).select(F.col("i").alias("slot_i"), F.col("k").alias("slot_k"), F.col("slot").alias("slot_at"), "before")
+    table = cycle(spark, shares).select(
+        *[F.col(c).alias(names[x]) for c, x in (("i", "mix_i"), ("k", "mix_k"), ("slot", "mix_at"), ("before", "mix_before"))])
     c = _longs(shares)[F.col(source)]
     number = F.floor(F.col(rank) / block)
     rounds = F.floor(number / c)
     # At most MOST_SLOTS rows, whatever the data.
     rows = rows.withColumn(names["mix_block"], number).join(
-        F.broadcast(table), (F.col(source) == F.col("slot_i")) & (F.col(names["mix_block"]) % c == F.col("slot_k")))
+        F.broadcast(table), (F.col(source) == F.col(names["mix_i"])) & (F.col(names["mix_block"]) % c == F.col(names["mix_k"])))
     ahead = F.zip_with(
-        F.zip_with("before", _longs(shares), lambda b, s: (b + rounds * s) * block), _longs(n_rows), lambda x, n: F.least(x, n))
+        F.zip_with(names["mix_before"], _longs(shares), lambda b, s: (b + rounds * s) * block), _longs(n_rows), lambda x, n: F.least(x, n))
     position = F.aggregate(ahead, F.lit(0).cast("long"), lambda a, x: a + x) + F.col(rank) % block
     b = F.col(names["mix_block"])
     return rows.select(
         *[column(x) for x in docs.columns], b.cast("long").alias(names["mix_block"]),
         F.floor(b * total / c).alias(names["mix_release"]), F.ceil((b + 1) * total / c).alias(names["mix_deadline"]),
-        (rounds * total + F.col("slot_at")).cast("long").alias(names["mix_slot"]), position.cast("long").alias(names["mix_position"]))
+        (rounds * total + F.col(names["mix_at"])).cast("long").alias(names["mix_slot"]), position.cast("long").alias(names["mix_position"]))
 
 
 def in_mixed_order(docs: DataFrame, weights: dict[str | None, int], **options) -> DataFrame:

@@ -24,8 +24,8 @@ from .common import BLANKS, as_bytes, column, free_name, mixed, span_hashes, wor
 BITS = 18
 DIM = 8
 GRAMS = (3, 4, 5)
-TRAIN_ROWS = 2000  # of each class
-EPOCHS = 5
+TRAIN_ROWS = 1000  # of each class
+STEPS = 10_000  # of gradient descent, one text each
 RATE = 0.5
 PIECE = 1 << 19  # bytes whose features are computed at once
 TO_SPACE = bytes(32 if i in BLANKS else i for i in range(256))
@@ -105,7 +105,7 @@ def sample(labels: DataFrame, id_col: str, label_col: str, rows: int, learn_from
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", learn_from: Column | None = None, epochs: int = EPOCHS, seed: int = 7) -> Model:
+          label_col: str = "quality", learn_from: Column | None = None, steps: int = STEPS, seed: int = 7) -> Model:
     """A model from at most `rows` rows of each class; learn_from may use columns id and label.
 
     The tasks turn texts into slots and counts; only these reach the driver, at most 2**BITS
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
     labels_ = found.column("label").to_numpy()
     rows_ = [(np.array(s, np.int32), np.array(c, np.float32))
              for s, c in zip(_lists(found.column("slots")), _lists(found.column("counts")), strict=True)]
-    return fit(rows_, labels_, epochs, seed)
+    return fit(rows_, labels_, steps, seed)
 
 
 def _lists(column_):
@@ -143,19 +143,19 @@ def _lists(column_):
             yield values[a:b]
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> Model:
     """Stochastic gradient descent, one text at a time, with a falling rate; classes weigh alike."""
     rng = np.random.default_rng(seed)
     vectors = ((rng.random((1 << BITS, DIM), dtype=np.float32) - 0.5) / DIM).astype(np.float32)
     classes, bias = np.zeros((2, DIM), dtype=np.float32), np.zeros(2, dtype=np.float32)
     n_class = np.bincount(labels, minlength=2)[:2]
     weight = len(labels) / 2 / np.maximum(n_class, 1)
-    steps, done = max(epochs * len(rows), 1), 0
-    for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
+    epochs = -(-steps // len(rows)) if len(rows) else 0
+    for epoch in range(epochs):
+        for k, i in enumerate(rng.permutation(len(rows))):
             slots, counts = rows[i]
-            rate, label = RATE * (1 - done / steps) * weight[labels[i]], labels[i]
-            done += 1
+            done = (epoch * len(rows) + k) / (epochs * len(rows))
+            rate, label = RATE * (1 - done) * weight[labels[i]], labels[i]
             share = (counts / counts.sum())[:, None] if len(slots) else np.zeros((0, 1), np.float32)
             mean = (vectors[slots] * share).sum(axis=0)
             logits = classes @ mean + bias

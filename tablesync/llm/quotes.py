@@ -196,33 +196,43 @@ def conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     flat = ranked(flat, ["tc", "tt"], ["depth", "conv", "turn", "mark"], "place", scratch)
     # Repeated rows have places of their own, dealt out by number.
     nth = Window.partitionBy("conv", "turn", "mark")
-    flat = flat.withColumn("nth", F.row_number().over(nth.orderBy("place"))).withColumnsRenamed({"conv": "c", "turn": "t", "mark": "m"})
-    replies = replies.withColumnsRenamed({"conv": "rc", "turn": "rt", "mark": "rm"})
-
-    c, t = free_name(rows, "key_conv"), free_name(rows, "key_turn")
-    m, n = free_name(rows, "key_mark"), free_name(rows, "key_nth")
-    rows = rows.withColumns({c: column(conv_col).cast("long"), t: column(turn_col).cast("long"), m: mark})
-    rows = rows.withColumn(n, F.row_number().over(Window.partitionBy(c, t, m).orderBy(m)))
-    rows = rows.join(flat, (F.col(c) == flat["c"]) & (F.col(t) == flat["t"]) & (F.col(m) == flat["m"]) & (F.col(n) == flat["nth"]), "left")
-    rows = rows.join(replies, (F.col(c) == replies["rc"]) & (F.col(t) == replies["rt"]) & (F.col(m) == replies["rm"]), "left")
+    flat = flat.withColumn("nth", F.row_number().over(nth.orderBy("place")))
+    n = free_name(rows, "nth")
+    keys = [column(conv_col).cast("long"), column(turn_col).cast("long"), mark]
+    rows = rows.withColumn(n, F.row_number().over(Window.partitionBy(*keys).orderBy(mark)))
+
+    def beside(table: DataFrame, named: list[str], and_nth: bool) -> DataFrame:
+        """rows with a table's row as one column, joined on conversation, turn and text."""
+        packed = table.select(F.struct(*table.columns).alias(free_name(rows, "packed")))
+        own = F.col(packed.columns[0])
+        same = [key == own[c] for key, c in zip(keys, ("conv", "turn", "mark"), strict=True)]
+        out = rows.join(packed, [*same, F.col(n) == own["nth"]] if and_nth else same, "left")
+        named.append(packed.columns[0])
+        return out
+
+    named: list[str] = []
+    rows = beside(flat, named, True)
+    rows = beside(replies, named, False)
+    place, reply = (F.col(c) for c in named)
     kept = [F.col(names["own"]).alias(x) if x == text_col else column(x) for x in messages.columns]
     return rows.select(
-        *kept, replies["parent"]["conv"].alias("parent_conv"), replies["parent"]["turn"].alias("parent_turn"),
+        *kept, reply["parent"]["conv"].alias("parent_conv"), reply["parent"]["turn"].alias("parent_turn"),
         F.col(names["levels"]).alias("quote_levels"), F.col(names["passages"]).alias("quoted_passages"),
-        F.coalesce(replies["linked"], F.lit(0)).alias("linked_levels"), flat["tc"].alias("thread_conv"), flat["tt"].alias("thread_turn"),
-        flat["depth"].alias("depth"), flat["place"].cast("long").alias("reply_order"))
+        F.coalesce(reply["linked"], F.lit(0)).alias("linked_levels"), place["tc"].alias("thread_conv"), place["tt"].alias("thread_turn"),
+        place["depth"].alias("depth"), place["place"].cast("long").alias("reply_order"))
 
 
 def with_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
     """messages as mail programs send them: each below a quotation of the turn before, which in
     turn quotes the one before that. Columns stay as they are."""
-    key = ["conv", "turn", "said"]
+    key = [free_name(messages, c) for c in ("conv_", "turn_", "said_")]
     said = messages.select(column(conv_col).alias("conv"), column(turn_col).alias("turn"), column(text_col).alias("said")).where("said is not null")
     said = said.groupBy("conv", "turn").agg(F.min("said").alias("said"))
     one, two = (said.toDF(*[f"{c}{i}" for c in key]) for i in (1, 2))
-    rows = messages.join(one, (column(conv_col) == F.col("conv1")) & (column(turn_col) - 1 == F.col("turn1")), "left")
-    rows = rows.join(two, (column(conv_col) == F.col("conv2")) & (column(turn_col) - 2 == F.col("turn2")), "left")
+    rows = messages.join(one, (column(conv_col) == F.col(f"{key[0]}1")) & (column(turn_col) - 1 == F.col(f"{key[1]}1")), "left")
+    rows = rows.join(two, (column(conv_col) == F.col(f"{key[0]}2")) & (column(turn_col) - 2 == F.col(f"{key[1]}2")), "left")
+    before = [F.col(f"{key[2]}{i}") for i in (1, 2)]
     quote = lambda text, mark: F.concat(F.lit(mark), F.regexp_replace(text, "\n", f"\n{mark}"))
-    parts = [F.when(F.col("said1").isNotNull(), F.concat_ws("\n", F.lit("On an earlier day someone wrote:"), quote(F.col("said2"), "> > "), quote(F.col("said1"), "> ")))]
+    parts = [F.when(before[0].isNotNull(), F.concat_ws("\n", F.lit("On an earlier day someone wrote:"), quote(before[1], "> > "), quote(before[0], "> ")))]
     text = F.concat_ws("\n\n", *parts, column(text_col))
     return rows.select(*[F.when(column(c).isNotNull(), text).alias(c) if c == text_col else column(c) for c in messages.columns])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Scratch, as_bytes, column, components
+from .common import LOWER, Scratch, as_bytes, column, components, free_name
 
 SEED = 42
 SEGMENTS = 32  # of two bits each
@@ -146,8 +146,9 @@ def keep_one(
     repeats = prints.groupBy("id").count().where(F.col("id").isNull() | (F.col("count") > 1))
     if not repeats.isEmpty():
         return _first_rows(docs, classes, shingle, id_col, text_col)
-    kept = classes.select(F.col("component_id").alias("kept_id")).distinct()
-    return docs.join(kept, column(id_col) == F.col("kept_id"), "left_semi")
+    kept_id = free_name(docs, "kept_id")
+    kept = classes.select(F.col("component_id").alias(kept_id)).distinct()
+    return docs.join(kept, column(id_col) == F.col(kept_id), "left_semi")
 
 
 def _first_rows(docs: DataFrame, classes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:

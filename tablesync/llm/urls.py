@@ -70,7 +70,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
         F.coalesce(F.max(F.size(F.split("rule_path", "/", -1)) - 1), F.lit(0))).first()
     host, path = host_and_path(column(url_col).cast("string"))
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    own = {c: free_name(pages, c) for c in ("url_host", "url_path")}
+    own = {c: free_name(pages, c) for c in ("url_host", "url_path", "best_host", "best_path", "best")}
     rows = pages.withColumns({own["url_host"]: host, own["url_path"]: path})
 
     distinct = rows.select(F.col(own["url_host"]).alias("h"), F.col(own["url_path"]).alias("p")).distinct()
@@ -83,10 +83,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     order = F.struct(F.length(name), F.length("rule_host"), F.col("action") == "block", name, F.col("action"))
     best = found.groupBy("h", "p").agg(F.max_by(F.struct(name.alias("rule"), "action"), order).alias("best"))
 
-    same = (F.col(own["url_host"]) == F.col("h")) & (F.col(own["url_path"]) == F.col("p"))
+    best = best.select(*[F.col(c).alias(own[f"best{end}"]) for c, end in (("h", "_host"), ("p", "_path"), ("best", ""))])
+    same = (F.col(own["url_host"]) == F.col(own["best_host"])) & (F.col(own["url_path"]) == F.col(own["best_path"]))
     return rows.join(best, same, "left").select(
         *[column(c) for c in kept], F.col(own["url_host"]).alias("host"), F.col(own["url_path"]).alias("path"),
-        F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
+        F.col(own["best"])["rule"].alias("rule"), F.coalesce(F.col(own["best"])["action"], F.lit(default)).alias("verdict"))
 
 
 def sql(rules: list[tuple[str, str, str]], default: str = "allow") -> str:

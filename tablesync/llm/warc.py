@@ -30,7 +30,7 @@ NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # that of URLs, R
 END = b"\r\n\r\n"
 HIDDEN = {"script", "style", "template", "noscript"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "em", "font", "i", "kbd", "mark", "q", "s", "samp", "small", "span",
-          "strong", "sub", "sup", "time", "tt", "u", "var"}
+          "strong", "sub", "sup", "time", "tt", "u", "var", *HIDDEN}
 LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action"}
 
 

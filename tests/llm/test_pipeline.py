@@ -1,0 +1,75 @@
+"""The pipeline, stage by stage, against brute force on its own inputs."""
+
+import sys
+from collections import Counter
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).parent))
+from edge import SCHEMA, clashing, edge_docs  # noqa: E402
+from test_documents import check_sequences  # noqa: E402
+from test_near_copies import grouped, print_of  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from tablesync.llm import mixing, passages, quality  # noqa: E402
+from tablesync.llm.common import Scratch  # noqa: E402
+from tablesync.llm.queries import WEIGHTS, quality_model  # noqa: E402
+
+
+def test_stages(spark, sf_dir):
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "repeats", "mix", "pack"]
+    scratch, docs = Scratch(spark, "test"), spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, before = docs.columns, docs
+    texts = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs, _ = scratch.save(stage(spark, before, sf_dir), name)
+        old = texts(before)
+        if name == "quality":
+            model = quality_model(before, spark, sf_dir)
+            assert texts(docs) == {i: t for i, t in old.items() if model.score((t or "").encode()) >= 0.3}
+        elif name == "near_copies":
+            prints = {i: print_of(t) for i, t in old.items()}
+            links = {i: [j for j in old if (prints[i] ^ prints[j]).bit_count() <= 3] for i in old}
+            component = grouped(links, old)
+            assert texts(docs) == {i: t for i, t in old.items() if component[i] == i}
+        elif name == "repeats":
+            spans = {}
+            for r in passages.shared_passages(before).collect():
+                spans.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+            new = texts(docs)
+            assert set(new) == set(old)
+            for i, t in old.items():
+                gone = {k for a, b in spans.get(i, ()) for k in range(a, b)}
+                assert new[i].split() == [w for k, w in enumerate(t.split()) if k not in gone] and (spans.get(i) or new[i] == t)
+            assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
+        elif name == "mix":
+            order = {r["doc_id"]: r["mix_position"] for r in mixing.mix(before, WEIGHTS).collect()}
+            in_files = docs.orderBy("_metadata.file_name", "_metadata.row_index").collect()
+            assert [order[r["doc_id"]] for r in in_files] == list(range(len(old))) and texts(docs) == old
+        if name != "pack":
+            assert docs.columns == columns
+            before = docs
+    rows = docs.collect()
+    check_sequences(rows)
+    assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == Counter(list(texts(before)))
+    assert sorted((r["doc_id"], r["piece"], r["length"]) for r in rows) == sorted(
+        (r["doc_id"], r["piece"], r["length"]) for r in corpus_pipeline.run(spark, sf_dir).collect())
+
+
+def test_stages_on_edge_cases(spark, sf_dir):
+    for docs in (clashing(edge_docs(spark)), spark.createDataFrame([], SCHEMA)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            done = stage(spark, docs, sf_dir)
+            rows = done.collect()
+            if name != "pack":
+                assert done.columns == docs.columns
+            if name in ("repeats", "mix"):
+                assert len(rows) == n
+            if name == "pack":
+                assert sum(r["piece"] == 0 for r in rows) == n
+
+
+def test_rejects_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.Model(quality_model(docs, spark, sf_dir).gain * 0, -5.0)
+    assert quality.accepted(docs, model).count() == 0

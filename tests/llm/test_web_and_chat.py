@@ -1,0 +1,237 @@
+"""URL rules, WARC derivatives, quotations and embeddings against brute force, and on edge cases."""
+
+import json
+import math
+import sys
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+from edge import CLASHES, clashing  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tablesync.llm import covertree, quotes, urls, warc  # noqa: E402
+from tablesync.llm.queries import ORACLE_SQL, QUERIES, RULES  # noqa: E402
+
+RULE_SCHEMA = "action string, host string, path string"
+
+
+def test_urls_agree_with_sql(spark, sf_dir):
+    rows = QUERIES["op8_url_filters"](spark, sf_dir)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
+    expected = con.sql(ORACLE_SQL["op8_url_filters"])
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, rows.select(*expected.columns).collect()), key=key) == sorted(expected.fetchall(), key=key)
+
+
+def judged(url, rules, default="allow"):
+    rest = url.partition("://")[2] if url and "://" in url else ""
+    cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    fits = [(len(h + p), len(h), a == "block", h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return host, path, best[3] if best else None, best[4] if best else default
+
+
+def test_urls_against_every_rule(spark):
+    rules = [*RULES, ("block", "example.org", "/a/b"), ("allow", "example.org", "/a/bc"), ("block", "x.example.org", ""), ("allow", "", "/f"),
+             ("block", "com", "/deep/er/still/x"), ("allow", "com", "/deep/er/still/x"), ("block", None, "/"), ("block", "ü.net", "/ö/")]
+    known = [(a, h, p) for a, h, p in rules if h is not None]
+    found = [None, "", "no scheme", "http://", "://", "http://NET", "http://a.NET/", "HTTP://Example.NET/en/x?q=/de/#/", "https://m.example.com/de",
+             "https://m.example.com/de/", "http://notexample.com/de/1", "http://example.org/a/bcd", "http://y.x.example.org?a", "http://x.example.org/a/b",
+             "http:///f/g", "ftp://com/deep/er/still/xyz", "http://com/deep/er/still", "http://a..net/", "http://net./", "http://ü.net/ö/", "x://y://z/",
+             "http://user@example.net:80/en/", "http://example.org/fr/\n/x", "http://" + "a." * 500 + "net/" + "p/" * 2000, "http://net/", "http://net/"]
+    pages = clashing(spark.createDataFrame(list(enumerate(found)), "page_id int, url string")).drop("host")
+    pages = pages.withColumns({"verdict": F.lit("old"), "h": F.lit("x"), "p": F.lit("y"), "rule_host": F.lit("z")})
+    got = urls.judge(pages, spark.createDataFrame(rules, RULE_SCHEMA)).collect()
+    assert len(got) == len(found)
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == judged(found[r["page_id"]], known)
+    none = urls.judge(pages, spark.createDataFrame([], RULE_SCHEMA), default="block")
+    assert {(r["rule"], r["verdict"]) for r in none.collect()} == {(None, "block")}
+    assert urls.judge(pages.limit(0), spark.createDataFrame(rules, RULE_SCHEMA)).collect() == []
+
+
+def test_warc_round_trip(spark, sf_dir):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = QUERIES["op9_warc_derivatives"](spark, sf_dir).collect()
+    assert sorted((r["page_id"], r["warc_type"]) for r in rows) == sorted((i, k) for i in pages for k in ("metadata", "conversion"))
+    ids = {(r["page_id"], r["warc_type"]): r["record_id"] for r in rows}
+    assert len(set(ids.values())) == len(rows)
+    for r in rows:
+        version, headers, block = warc.parse_record(r["record"])
+        fields = dict(headers)
+        assert warc.write_record(headers[:-1], block) == bytes(r["record"]) and version == "WARC/1.1"
+        assert block.decode() == r["content"] and fields["WARC-Block-Digest"] == warc.digest(block)
+        assert (fields["WARC-Record-ID"], fields["WARC-Refers-To"], fields["WARC-Target-URI"]) == (r["record_id"], r["refers_to"], pages[r["page_id"]]["url"])
+        assert fields["WARC-Concurrent-To"] == ids[r["page_id"], "conversion" if r["warc_type"] == "metadata" else "metadata"]
+        assert warc.matches(pages[r["page_id"]]["html"].encode(), r["payload_digest"])
+        if r["warc_type"] == "metadata":
+            meta = json.loads(r["content"])
+            assert meta["payload"]["valid"] and dict(meta["warc"])["WARC-Record-ID"] == r["refers_to"]
+            assert dict(meta["http"]["headers"])["Content-Type"] == "text/html; charset=utf-8" and len(meta["links"]) >= 3
+        else:
+            assert "track(" not in r["content"] and "<p>" not in r["content"] and len(r["content"]) > 20
+
+
+def test_html_reading():
+    html = ("<!doctype html><title>A &amp; B</title><style>x{}</style><p>One <b>two</b>\n three&nbsp;four<br/>five<script>if (a < b) {}</script>"
+            "<a href='/x?a=1&amp;b=2'>link</a><!-- <p>no --><ul><li>six<li>seven</ul><img src=i.png><p>&lt;p&gt; &#233; &bogus; <unclosed")
+    text, title, links = warc.read_html(html)
+    assert title == "A & B" and links == [("a", "/x?a=1&b=2"), ("img", "i.png")]
+    assert text.split("\n")[:5] == ["One two three four", "fivelink", "six", "seven", "<p> é &bogus; <unclosed"]
+
+
+def response(payload=b"<p>hi", http=b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n", kind=b"response", more=b""):
+    block = http + payload
+    return b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\n" + more + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+
+def test_warc_edges(spark):
+    import gzip
+
+    long = b"<p>" + b"word " * 200_000
+    cases = [None, b"", b"junk", response(kind=b"request"), response(b""), response(long), response(b"GIF", b"HTTP/1.1 200 OK\r\nContent-Type: image/gif\r\n\r\n"),
+             response(b"a  b\n\nc", b"HTTP/1.1 200\r\nContent-Type: text/plain\r\n\r\n"), response(more=b"WARC-Payload-Digest: sha1:WRONG\r\nWARC-Record-ID: <id>\r\n"),
+             response(gzip.compress(b"<p>zipped"), b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\n"), response("é".encode("latin-1"), b"HTTP/1.1 200 OK\r\nContent-Type: text/html;\r\n charset=ISO-8859-1\r\n\r\n"),
+             response(), response()]
+    rows = spark.createDataFrame([(i, c, "x") for i, c in enumerate(cases)], "page_id int, record binary, record_id string")
+    found = {}
+    for r in warc.build_derivatives(rows, keep=["page_id", "record_id"]).collect():
+        assert r["source_record_id"] == "x"
+        found.setdefault(r["page_id"], {})[r["warc_type"]] = r["content"]
+    assert sorted(found) == [4, 5, 6, 7, 8, 9, 10, 11, 12]
+    assert found[4]["conversion"] == "" and len(found[5]["conversion"]) == 999_999 and set(found[6]) == {"metadata"}
+    assert found[7]["conversion"] == "a b\nc" and found[9]["conversion"] == "zipped" and found[10]["conversion"] == "é"
+    assert json.loads(found[8]["metadata"])["payload"] == {"digest": "sha1:WRONG", "length": 5, "valid": False}
+    assert warc.build_derivatives(rows.limit(0)).collect() == []
+    made = spark.createDataFrame([(1, None, None), (None, "a\r\nb", "")], "page_id int, url string, html string")
+    record = warc.response_record(F.col("page_id"), F.col("url"), F.col("html"), "2024-01-01T00:00:00Z")
+    assert warc.build_derivatives(made.withColumn("record", record)).count() == 4
+
+
+def test_quotes_of_the_given_conversations(spark, sf_dir):
+    said = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()}
+    rows = QUERIES["op10_quotation_linking"](spark, sf_dir).collect()
+    assert len(rows) == len(said)
+    for r in rows:
+        key = (r["conv_id"], r["turn"])
+        levels = sum((key[0], key[1] - i) in said for i in (1, 2) if (key[0], key[1] - 1) in said)
+        assert r["text"] == said[key].strip("\n") and r["quote_levels"] == levels == r["linked_levels"]
+        parents = [k for k in said if k[0] == key[0] and k[1] < key[1] and quotes.normalised(said[k]) == quotes.normalised(said.get((key[0], key[1] - 1), ""))]
+        assert (r["parent_conv"], r["parent_turn"]) == (min(parents) if parents else (None, None))
+    assert_threads(rows)
+
+
+def assert_threads(rows):
+    parent = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in rows if r["conv_id"] is not None and r["turn"] is not None}
+    threads = {}
+    for r in rows:
+        node, depth = (r["conv_id"], r["turn"]), 0
+        if None in node:
+            assert r["reply_order"] is None
+            continue
+        while parent[node][0] is not None:
+            node, depth = parent[node], depth + 1
+        assert (r["thread_conv"], r["thread_turn"], r["depth"]) == (*node, depth)
+        threads.setdefault(node, []).append((r["reply_order"], depth, r["conv_id"], r["turn"]))
+    for places in threads.values():
+        assert [p[0] for p in sorted(places)] == list(range(len(places)))
+        assert [p[1:] for p in sorted(places)] == sorted(p[1:] for p in places)
+
+
+def test_nested_partial_and_foreign_quotes(spark):
+    hello, plan = "Hello all,\nshall we meet on Monday?", "Monday is bad for me.\nTuesday at ten?\nBest, B."
+    messages = [
+        (1, 0, hello), (1, 1, "On Monday A wrote:\n> Hello all,\n> shall we   MEET on Monday?\n\n" + plan),
+        (1, 2, "B wrote:\r\n> A wrote:\r\n>> shall we meet on Monday?\r\n> Tuesday at ten?\r\n\r\nFine."), (1, 3, ">>> Fine.\nok"),
+        (1, 4, "> nobody ever said this\nok"), (2, 0, "> Hello all, shall we meet on Monday?\nCopied over."), (2, 1, "a > b is no quote"),
+        (3, 0, None), (3, 1, ""), (3, 2, "> \n>\n"), (3, 3, "> ok\nshort foreign quote"), (None, 5, "> ok"), (4, None, "> Fine."),
+        (5, 0, "twice"), (5, 0, "twice"), (5, 1, "> twice\nanswer"), (6, 0, "> " + "long line " * 20_000), (7, 0, "> > " * 500 + "deep"),
+    ]
+    docs = spark.createDataFrame(messages, "conv_id long, turn long, text string").select("*", *[F.lit("x").alias(c) for c in (*CLASHES, "depth", "own", "quoted", "pid", "place", "tc", "c", "parent", "nth", "packed", "conv1", "said1")])
+    rows = quotes.conversations(docs).collect()
+    assert len(rows) == len(messages)
+    got = {(r["conv_id"], r["turn"]): r for r in rows}
+    parents = {k: (r["parent_conv"], r["parent_turn"]) for k, r in got.items() if r["parent_conv"] is not None}
+    assert parents == {(1, 1): (1, 0), (1, 2): (1, 1), (1, 3): (1, 2), (2, 0): (1, 0), (5, 1): (5, 0)}
+    assert got[1, 1]["text"] == plan and got[1, 2]["text"] == "Fine." and got[1, 2]["quote_levels"] == 2 == got[1, 2]["linked_levels"]
+    assert got[3, 0]["text"] == got[3, 1]["text"] == got[3, 2]["text"] == "" and got[3, 2]["quoted_passages"] == 0
+    assert got[7, 0]["quote_levels"] == 1000 and got[6, 0]["quoted_passages"] == 1 and got[2, 1]["text"] == "a > b is no quote"
+    assert_threads(rows)
+    assert quotes.conversations(docs.limit(0)).collect() == []
+
+
+def test_a_long_thread(spark):
+    said = [(1, i, f"number {i} speaks") for i in range(70)]
+    rows = quotes.conversations(quotes.with_quotes(spark.createDataFrame(said, "conv_id long, turn long, text string"))).collect()
+    assert {r["turn"]: (r["depth"], r["reply_order"], r["thread_turn"]) for r in rows} == {i: (i, i, 0) for i in range(70)}
+
+
+def brute(rows, threshold=0.93):
+    """Links and components of (id, vector, label) rows."""
+    units = []
+    for _, v, label in rows:
+        ok = label is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)
+        units.append(np.array(v) / max(map(abs, v)) / np.linalg.norm(np.array(v) / max(map(abs, v))) if ok else None)
+    links = {i: [j for j, b in enumerate(units) if j != i and b is not None and rows[i][2] == rows[j][2] and len(a) == len(b) and a @ b >= threshold] if a is not None else []
+             for i, a in enumerate(units)}
+    return links
+
+
+def expect(rows, links):
+    out = {}
+    for i in range(len(rows)):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        out[rows[i][0]] = (len(links[i]), min(rows[j][0] for j in seen))
+    return out
+
+
+def compare(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").select("*", F.lit(1).alias("cell"), F.lit(2).alias("print"))
+    got = covertree.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == expect(rows, brute(rows))
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
+
+
+def clusters(rng, n, spread, d=16):
+    centres = rng.normal(size=(12, d))
+    return [(centres[k % 12] * rng.uniform(0.1, 10) + rng.normal(size=d) * spread[k % len(spread)] * np.linalg.norm(centres[k % 12])).tolist() for k in range(n)]
+
+
+@pytest.mark.parametrize("cell", [2048, 20])
+def test_embeddings_against_brute_force(spark, monkeypatch, cell):
+    monkeypatch.setattr(covertree, "CELL", cell)
+    rng = np.random.default_rng(cell)
+    vectors = clusters(rng, 300, [0.01, 0.07, 0.1, 0.0, 0.5])
+    rows = [(1000 - i, v, [1, 1, 1, 2, None][i % 5]) for i, v in enumerate(vectors)]
+    rows += [(2000 + i, rows[0][1], 1) for i in range(50)] + [(3000 + i, (np.array(rows[1][1]) * 2**i).tolist(), 1) for i in range(3)]
+    rows += [(4000, None, 1), (4001, [], 1), (4002, [0.0] * 16, 1), (4003, [None, *[1.0] * 15], 1), (4004, [float("nan")] * 16, 1), (4005, [float("inf")] * 16, 1),
+             (4006, [1.0, 0.0], 1), (4007, [1.0, 0.01], 1), (4008, [1e200] * 16, 1), (4009, [2e-200] * 16, 1)]
+    compare(spark, rows)
+
+
+def test_embedding_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    got = QUERIES["op4_embedding_near_dedup"](spark, sf_dir).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == expect(rows, brute(rows))
+
+
+def test_embedding_edges(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    assert covertree.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+    rows = covertree.near_duplicates(spark.createDataFrame([(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (5, [1.0, 0.1], 1), (5, [0.0, 1.0], 1), (7, [0.0, 1.0], 1)], schema)).collect()
+    got = sorted((str(r["vec_id"]), r["n_links"], r["component_id"], r["kept"]) for r in rows)
+    assert got == [("1", 1, 1, True), ("5", 1, 1, False), ("5", 1, 1, False), ("7", 1, 1, False), ("None", 0, None, False)]
