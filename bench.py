@@ -40,7 +40,6 @@ HEADLINE = [
     "sync_manifest",
     "scrub_delims",
     "conform_types",
-    "archive_expand",
     "run_log_parse",
 ]
 

@@ -41,7 +41,9 @@ def normalise_key(col: Column | str, kind: str = "plain", side: str = "source")
         raise ValueError(f"side must be 'source' or 'list', not {side!r}")
     col = F.col(col) if isinstance(col, str) else col
     if kind == "numeric":
-        return col.try_cast("decimal(38,0)")
+        # A cast alone would round: an id with a fraction equals no whole number.
+        whole, exact = col.try_cast("decimal(38,0)"), col.try_cast("decimal(38,9)")
+        return F.when(exact.isNull() | (exact == whole), whole)
     if kind == "integer":
         return col.try_cast("bigint")
     if kind.startswith("pad10"):

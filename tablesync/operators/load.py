@@ -1,8 +1,8 @@
 """Loads: staging, write dispositions, row counts.
 
-A path target holds one folder per load, named <number>-<kind>. Spark's own
-_SUCCESS marker says that a load is complete, so a load shows up whole or not at all:
-a half-written folder is never read. A replacement starts a new series; nothing that
+A path target holds one folder per load, named <number>-<kind>. A marker that is written
+last says that a load is complete, so a load shows up whole or not at all: a half-written
+folder is never read. A replacement starts a new series; nothing that
 a running query may still be reading is overwritten. A table target swaps its location
 instead. Both assume one writer per target at a time.
 """
@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete, matching, path_exists
+from ..session import delete, matching, path_exists, touch
 
 MODES = ("append", "truncate", "empty", "recreate")
 
 NUMBERED = "[0-9]" * 8
+COMMITTED = "_COMMITTED"  # Spark's own marker can be switched off
 UNIQUE = re.compile(r"[0-9a-f]{32}")
 
 
@@ -53,12 +54,19 @@ class PathTarget:
     def _loads(self) -> list[str]:
         """Folders that make up the current contents, oldest first. Files that lie in
         the target's folder itself count as its first load."""
-        marks = matching(self.spark, f"{self.name}/{NUMBERED}-*/_SUCCESS")
-        done = [m.removesuffix("/_SUCCESS") for m in marks]
+        done = sorted({m.rpartition("/")[0] for m in matching(self.spark, f"{self.name}/{NUMBERED}-*/{{{COMMITTED},_SUCCESS}}")})
         starts = [i for i, d in enumerate(done) if d.endswith("-replace")]
         if starts:
             return done[starts[-1]:]
-        return [self.name, *done] if path_exists(self.spark, f"{self.name}/_SUCCESS") else done
+        own = [p for p in matching(self.spark, f"{self.name}/[!_.]*") if not _number(p)]
+        if not own:
+            return done
+        # Rows that this library did not load must be read whole or not be touched at all.
+        if any("=" in p.rpartition("/")[2] for p in own):
+            raise ValueError(f"{self.name} is partitioned: load it as a table")
+        if not path_exists(self.spark, f"{self.name}/_SUCCESS"):
+            raise ValueError(f"{self.name} holds files but no _SUCCESS marker that says they are complete")
+        return [self.name, *done]
 
     def replaced(self) -> list[str]:
         """Numbered folders from before the current contents, unfinished ones included."""
@@ -78,7 +86,9 @@ class PathTarget:
 
     def _write(self, df: DataFrame, kind: str) -> None:
         taken = matching(self.spark, f"{self.name}/{NUMBERED}-*")
-        df.write.parquet(f"{self.name}/{max(map(_number, taken), default=0) + 1:08d}-{kind}")
+        path = f"{self.name}/{max(map(_number, taken), default=0) + 1:08d}-{kind}"
+        df.write.parquet(path)
+        touch(self.spark, f"{path}/{COMMITTED}")
 
     def create(self, df: DataFrame) -> None:
         self._write(df, "replace")
@@ -203,6 +213,10 @@ def _same_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """df by name in the order and types of schema; columns df lacks are null."""
     _new_fields(df, schema, "the target", False)
     have = {c.lower(): c for c in df.columns}
+    known = {f.name.lower(): f.dataType for f in schema}
+    narrowed = [f.name for f in df.schema if not _keeps_values(f.dataType, known[f.name.lower()])]
+    if narrowed:
+        raise ValueError(f"columns whose values the target's types may change: {narrowed}")
 
     def column(f: T.StructField):
         found = have.get(f.name.lower())
@@ -211,6 +225,33 @@ def _same_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[column(f) for f in schema])
 
 
+# Whole decimal digits that hold every value of a type.
+DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+# Whole numbers that a binary fraction holds exactly.
+EXACT = {T.FloatType: (T.ByteType, T.ShortType), T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType, T.FloatType)}
+
+
+def _keeps_values(given: T.DataType, wanted: T.DataType) -> bool:
+    """Does a cast keep every value: is it to the same type, or a widening one?"""
+    if isinstance(given, T.NullType) or given.simpleString() == wanted.simpleString():
+        return True
+    if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
+        return len(given) == len(wanted) and all(_keeps_values(g.dataType, w.dataType) for g, w in zip(given, wanted, strict=True))
+    if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return _keeps_values(given.elementType, wanted.elementType)
+    if isinstance(wanted, T.DecimalType):
+        if isinstance(given, T.DecimalType):
+            return given.scale <= wanted.scale and given.precision - given.scale <= wanted.precision - wanted.scale
+        return DIGITS.get(type(given), 99) <= wanted.precision - wanted.scale
+    if type(given) in DIGITS and type(wanted) in DIGITS:
+        return DIGITS[type(given)] <= DIGITS[type(wanted)]
+    if type(wanted) in EXACT:
+        return isinstance(given, EXACT[type(wanted)])
+    if isinstance(given, T.DateType):
+        return isinstance(wanted, (T.TimestampType, T.TimestampNTZType))
+    return isinstance(wanted, T.StringType) and isinstance(given, (T.CharType, T.VarcharType, T.StringType))
+
+
 def load_table(
     df: DataFrame,
     target: str,

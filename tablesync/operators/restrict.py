@@ -5,17 +5,18 @@ the source depends on its measured size, never on an estimate:
 
 1. it fits in memory: broadcast it; the source is not shuffled, so a hot id or a
    third of null ids costs nothing extra;
-2. it does not: count the source's ids, a shuffle of one narrow row per id and task,
-   and look them up in the list. If the listed ones fit, broadcast those;
-3. they do not either: shuffle both sides. The counts say which ids are hot. Rows of a
-   hot id spread over as many salts as it takes to make them ordinary, and only its
-   list entry repeats.
+2. it does not, but the caller says that the source is frozen, and the listed ids that
+   occur in it fit: broadcast those;
+3. else shuffle both sides whole. Counts of the source's ids, a shuffle of one narrow row
+   per id and task, say which are hot. Rows of a hot id spread over as many salts as it
+   takes to make them ordinary, and only its list entry repeats.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +28,13 @@ from ..session import written
 KEY = "__restricted_key"
 SALT = "__restricted_salt"
 ROWS = "__restricted_rows"
-LISTED = "__restricted_listed"
 HOT = "__restricted_hot"
 PIECES = "__restricted_pieces"
 
 BROADCAST_LIMIT = 128 * 1024 * 1024  # bytes of keys, row overhead included
 HASH_LIMIT = 32 * 1024 * 1024  # bytes of keys in one partition of a shuffled hash join
 ROW_OVERHEAD = 48  # bytes a hashed row needs beyond its key
-SHARES = 1000  # an id is hot when it holds more than this fraction of the rows
+SHARES = 4  # an id is hot when it holds more than this fraction of a partition's rows
 
 
 @dataclass(frozen=True)
@@ -88,17 +88,17 @@ def _as_list(restricted, right_key, normalise) -> RestrictionList:
     return prepare_list(restricted, right_key, normalise)
 
 
-def _counted(df: DataFrame, source_key: Column, keys: DataFrame) -> DataFrame:
-    """The source's ids, null included, with their rows and whether they are listed."""
-    counts = df.groupBy(source_key.alias(KEY)).agg(F.count("*").alias(ROWS))
-    marked = keys.withColumn(LISTED, F.lit(True)).hint("merge")
-    return written(counts.join(marked, KEY, "left").withColumn(LISTED, F.col(LISTED).isNotNull()), "counted")
-
-
 def _row_hash(df: DataFrame) -> Column:
     """A hash of the row alone, so that a retried task gives each row the same salt."""
-    unhashable = (T.MapType, T.VariantType)
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, unhashable)])
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if _hashable(f.dataType)])
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def _partitions(spark: SparkSession) -> int:
@@ -107,21 +107,36 @@ def _partitions(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _salted_join(df: DataFrame, source_key: Column, counted: DataFrame, n_bytes: int, how: str) -> DataFrame:
-    rows = counted.agg(F.sum(ROWS)).first()[0] or 0
-    share = max(rows // SHARES, 1)
-    counted = counted.withColumn(PIECES, F.ceil(F.col(ROWS) / share).cast("int"))
-    # Each hot id holds more than one share of the rows: there are at most SHARES of them.
-    hot = counted.where(F.col(PIECES) > 1).select(F.col(KEY).alias(HOT), PIECES)
-    salt = F.coalesce(F.pmod(_row_hash(df), F.col(PIECES)), F.lit(0)).cast("int")
+class Counted(NamedTuple):
+    """The source's hot ids with the number of pieces each is dealt in, and all keys of the list."""
+
+    hot: DataFrame
+    keys: DataFrame
+
+
+def _counted(df: DataFrame, source_key: Column, keys: DataFrame) -> Counted:
+    """An id is hot with more than 1/SHARES of an average partition's rows.
+
+    Each hot id holds more than one share: there are at most SHARES times the partitions of them.
+    """
+    counts = df.groupBy(source_key.alias(HOT)).agg(F.count("*").alias(ROWS))
+    share = max(df.count() // (SHARES * _partitions(df.sparkSession)), 1)
+    pieces = F.ceil(F.col(ROWS) / share).cast("int")
+    return Counted(written(counts.where(F.col(ROWS) > share).select(HOT, pieces.alias(PIECES)), "hot"), keys)
+
+
+def _salted_join(df: DataFrame, source_key: Column, counted: Counted, n_bytes: int, how: str) -> DataFrame:
+    """The whole list against the whole source. An id that is not known as hot has salt 0 on both sides."""
+    hot = counted.hot
+    salt = F.when(F.col(PIECES).isNull(), F.lit(0)).otherwise(F.pmod(_row_hash(df), F.col(PIECES))).cast("int")
     source = df.join(F.broadcast(hot), source_key.eqNullSafe(F.col(HOT)), "left").withColumn(SALT, salt)
-    listed = counted.where(LISTED).select(
-        KEY, F.explode(F.sequence(F.lit(0), F.col(PIECES) - 1)).alias(f"{SALT}_listed")
-    )
+    keys = counted.keys.join(F.broadcast(hot), F.col(KEY) == F.col(HOT), "left")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)
+    keys = keys.select(KEY, F.explode(salts).alias(f"{SALT}_listed"))
     matches = (source_key == F.col(KEY)) & (F.col(SALT) == F.col(f"{SALT}_listed"))
     # A hash join spares the source a sort; the list's share of a partition must fit.
     strategy = "shuffle_hash" if n_bytes / _partitions(df.sparkSession) <= HASH_LIMIT else "merge"
-    return source.join(listed.hint(strategy), matches, how)
+    return source.join(keys.hint(strategy), matches, how)
 
 
 def _join(
@@ -130,25 +145,27 @@ def _join(
     listed: RestrictionList,
     how: str,
     limit: int = BROADCAST_LIMIT,
+    frozen: bool = False,
     changing: bool = False,
 ) -> DataFrame:
     """df joined with the list's keys; columns beside df's own are for the caller to drop.
 
-    A list beyond the limit means two passes over df. If its source is changing, such as
-    a live database, the rows are written first: a row that arrives between the passes
-    would otherwise escape the list, having an id that was not counted.
+    A list beyond the limit meets the source whole, so rows that arrive after the hot ids
+    were counted are compared too. Only if the caller says that the source is frozen may
+    the part of the list that occurs in it be broadcast instead. With changing the rows
+    are written first, for a caller who wants those of one moment.
     """
     source_key = normalise_key(left_key, listed.kind, "source")
     if listed.fits(limit):
         return df.join(F.broadcast(listed.keys), source_key == F.col(KEY), how)
     if changing:
         df = written(df, "source")
-    counted = _counted(df, source_key, listed.keys)
-    present = counted.where(LISTED).select(KEY)
-    n_bytes = _size(present)
-    if n_bytes <= limit:
-        return df.join(F.broadcast(present), source_key == F.col(KEY), how)
-    return _salted_join(df, source_key, counted, n_bytes, how)
+    if frozen:
+        ids = df.select(source_key.alias(KEY)).distinct()
+        present = written(listed.keys.join(ids, KEY, "left_semi"), "present")
+        if _size(present) <= limit:
+            return df.join(F.broadcast(present), source_key == F.col(KEY), how)
+    return _salted_join(df, source_key, _counted(df, source_key, listed.keys), listed.n_bytes, how)
 
 
 def _columns(df: DataFrame) -> list[Column]:
@@ -167,8 +184,8 @@ def anti_join(
     """Rows of df whose id is not on the list. A null id is never on it.
 
     The list is measured now, by a job of its own; the join itself stays lazy. A list
-    that is costly to read, or met by several tables, is better prepared once. Say
-    changing=True if df reads a source that may get rows meanwhile.
+    that is costly to read, or met by several tables, is better prepared once. Rows that
+    df's source gets meanwhile are compared with the list too; frozen=True says there are none.
     keep_right adds the list's columns, prefixed r_. They are null throughout, as in
     `select *` over the outer join that this replaces.
     """

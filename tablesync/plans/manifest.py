@@ -54,8 +54,10 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
         import yaml
     except ImportError as e:
         raise RuntimeError("YAML manifests need PyYAML; CSV manifests do not") from e
-    text = spark.read.text(path, wholetext=True).first()[0]
-    entries = [{str(k).strip().lower(): v for k, v in e.items()} for e in yaml.safe_load(text) or []]
+    # A manifest is configuration: all files of the path come to the driver, in the order of their names.
+    files = spark.read.text(path, wholetext=True).orderBy("_metadata.file_path").collect()
+    listed = [e for file in files for e in yaml.safe_load(file[0]) or []]
+    entries = [{str(k).strip().lower(): v for k, v in e.items()} for e in listed]
     rows = [tuple(None if e.get(f) is None else str(e[f]) for f in RAW_SCHEMA.names) for e in entries]
     return manifest_rows(spark.createDataFrame(rows, RAW_SCHEMA))
 
@@ -84,6 +86,7 @@ class Entry:
     read_then_by: str | None
     read_parts: int
     scrub: bool
+    problem: str | None = None  # why the entry can't run
 
     @classmethod
     def of(cls, position: int, row: Row) -> Entry:
@@ -91,7 +94,13 @@ class Entry:
         values.pop("name")
         values["normalise"] = values["normalise"] or "plain"
         values["precision"] = values["precision"] or "micro"
-        values["read_parts"] = int(values["read_parts"] or SPLITS)
+        parts = values["read_parts"] or str(SPLITS)
+        values["read_parts"] = int(parts) if parts.isdecimal() and int(parts) else SPLITS
+        missing = [f for f in ("gcptable", "tablename") if values[f] is None]
+        if missing:
+            values["problem"] = f"blank fields: {missing}"
+        elif not parts.isdecimal() or not int(parts):
+            values["problem"] = f"read_parts must be a whole number of 1 or more, not {parts!r}"
         for switch in ("keep_right", "scrub"):
             values[switch] = values[switch] in ("true", "yes", "1")
         return cls(position, **values)

@@ -7,6 +7,7 @@ an audit row and does not stop the others.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -67,12 +68,17 @@ class _Run:
         return f"{self.targets.rstrip('/')}/{entry.gcptable}" if "/" in self.targets else f"{self.targets}.{entry.gcptable}"
 
     def pending(self, entry: Entry) -> Pending:
+        if entry.problem:
+            raise ValueError(entry.problem)
         self.conns.config(entry.server)
         if entry.datecolumn is None:
             return Pending(entry, None, None)
         target = read_target(self.spark, self.target(entry))
         past = self.past_marks.get(entry.gcptable)
         mark = read_watermark(target, entry.datecolumn, entry.precision, Watermark(past) if past else None)
+        if past and mark.text == EPOCH and target is not None and entry.pattern == "delta_replace":
+            # All newer rows were restricted and left the target empty: its mark is the audited one.
+            mark = Watermark(past)
         return Pending(entry, mark, self._count(entry, mark))
 
     def _count(self, entry: Entry, mark: Watermark) -> int:
@@ -103,15 +109,18 @@ class _Run:
             return self.conns.read(entry.server, self.bound_query(p), **split)
         source = self.conns.read(entry.server, entry.tablename, **split)
         if entry.query is not None:
-            view = f"tablesync_source_{entry.position}"
-            source.createOrReplaceTempView(view)
-            return sql_template(self.spark, entry.query, view, entry.datecolumn, p.mark)
+            # A name of its own: other syncs of the session have views too.
+            view = f"tablesync_source_{uuid.uuid4().hex}"
+            source.createTempView(view)
+            try:
+                return sql_template(self.spark, entry.query, view, entry.datecolumn, p.mark)
+            finally:
+                self.spark.catalog.dropTempView(view)
         if entry.uses_mark:
             source = newer_than(source, entry.datecolumn, p.mark)
         if entry.restrict_table is None:
             return source
-        live = self.conns.is_jdbc(entry.server)
-        return anti_join(source, self._list(entry), entry.dntl, keep_right=entry.keep_right, changing=live)
+        return anti_join(source, self._list(entry), entry.dntl, keep_right=entry.keep_right)
 
     def _list(self, entry: Entry) -> RestrictionList:
         """Lists are few and shared by many entries, so each is reduced once per run."""
@@ -172,7 +181,8 @@ def _past_marks(spark: SparkSession, audit_target: str | None) -> dict[str, str]
     audit = read_target(spark, audit_target) if audit_target else None
     if audit is None:
         return {}
-    last = audit.where("watermark is not null").groupBy("target").agg(F.max_by("watermark", "run_at").alias("mark"))
+    reached = audit.where("watermark is not null and status in ('loaded', 'up_to_date')")
+    last = reached.groupBy("target").agg(F.max_by("watermark", "run_at").alias("mark"))
     return {r["target"]: r["mark"] for r in last.collect()}
 
 

@@ -68,3 +68,9 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
     return sorted(s.getPath().toString() for s in found or [])
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path).close()

@@ -18,8 +18,11 @@ def read_files(spark: SparkSession, path: str, format: str = "parquet", **option
 
 
 def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", **options) -> DataFrame:
-    """A CSV file with a header: names trimmed, every column a nullable string."""
-    df = spark.read.options(header=True, inferSchema=False, sep=sep, **options).csv(path)
+    """CSV files with one header: names trimmed, every column a nullable string.
+
+    Columns go by position, so a file whose header differs from the first one's is an error.
+    """
+    df = spark.read.options(header=True, inferSchema=False, enforceSchema=False, sep=sep, **options).csv(path)
     return df.toDF(*[c.strip() for c in df.columns])
 
 

@@ -167,3 +167,45 @@ def test_one_listing_however_many_loads(spark, tmp_path):
         load_table(numbers(spark, i, i + 1), target.name, "append")
     assert len(target._loads()) == 4
     assert held(spark, target.name) == [(i, f"n{i}") for i in range(4)]
+
+
+@pytest.mark.parametrize("value, kind", [("1.7", "decimal(3,1)"), ("1.239", "decimal(5,3)"), ("2024-01-01 10:00:00", "timestamp_ntz"), ("5", "bigint"), ("0.1", "double")])
+def test_an_append_that_could_change_values_fails(spark, tmp_path, value, kind):
+    target = f"{tmp_path}/t"
+    wanted = {"decimal(3,1)": "int", "decimal(5,3)": "decimal(10,2)", "timestamp_ntz": "date", "bigint": "int", "double": "float"}[kind]
+    load_table(spark.sql(f"SELECT cast(null AS {wanted}) AS v"), target, "append")
+    with pytest.raises(ValueError, match="v"):
+        load_table(spark.sql(f"SELECT cast('{value}' AS {kind}) AS v"), target, "append")
+    assert read_target(spark, target).count() == 1
+
+
+def test_an_append_may_widen(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    load_table(spark.sql("SELECT 1L AS a, 1.50BD AS b, 2.0D AS c, timestamp_ntz'2024-01-01 00:00:00' AS d"), target, "append")
+    load_table(spark.sql("SELECT 2 AS a, 1.5BD AS b, 3 AS c, date'2024-02-01' AS d"), target, "append")
+    assert sorted(str(r["a"]) + str(r["b"]) for r in read_target(spark, target).collect()) == ["11.50", "21.50"]
+
+
+def test_rows_that_others_wrote_are_read_whole_or_not_touched(spark, tmp_path):
+    import os
+
+    plain, unmarked, parted = (f"{tmp_path}/{n}" for n in ("plain", "unmarked", "parted"))
+    for path in (plain, unmarked):
+        spark.range(10).write.parquet(path)
+    os.remove(f"{unmarked}/_SUCCESS")
+    spark.range(10).selectExpr("id", "id % 2 AS k").write.partitionBy("k").parquet(parted)
+    assert load_table(spark.range(5), plain, "append").rows_total == 15
+    for path in (unmarked, parted):
+        with pytest.raises(ValueError):
+            load_table(spark.range(5).selectExpr("id", "0 AS k") if path == parted else spark.range(5), path, "append")
+        assert spark.read.parquet(path).count() == 10
+
+
+def test_loads_without_sparks_marker_are_seen(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        results = [load_table(spark.range(5), f"{tmp_path}/t", "append") for _ in range(2)]
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert [r.rows_total for r in results] == [5, 10] and read_target(spark, f"{tmp_path}/t").count() == 10

@@ -171,3 +171,25 @@ def test_kept_and_restricted_make_the_input(spark, source, listed, kind):
 
     bad = {key(v, True) for v in listed} - {None}
     assert sorted(str(r[0]) for r in taken) == sorted(str(v) for v in source if key(v, False) in bad)
+
+
+@pytest.mark.parametrize("sizing", [{}, {"limit": 300}, {"limit": 0}])
+def test_rows_that_arrive_after_the_call_are_compared(spark, tmp_path, sizing):
+    """Ids that no pass has counted meet the whole list."""
+    name = f"growing_{tmp_path.name.replace('-', '_').replace('[', '_').replace(']', '_')}"
+    spark.range(10).write.option("path", str(tmp_path / "t")).saveAsTable(name)
+    try:
+        listed = spark.range(0, 200, 2).select(F.col("id").alias("rid"))
+        out = anti_join(spark.table(name), listed, "id", "rid", **sizing)
+        spark.range(10, 40).write.mode("append").insertInto(name)
+        assert not [r[0] for r in out.collect() if r[0] % 2 == 0]
+        frozen = anti_join(spark.table(name), listed, "id", "rid", frozen=True, **sizing)
+        assert sorted(r[0] for r in frozen.collect()) == list(range(1, 40, 2))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_maps_inside_structs_can_be_shuffled(spark):
+    source = spark.range(50).select("id", F.struct(F.create_map(F.lit("a"), "id").alias("m")).alias("s"), F.array(F.create_map(F.lit("a"), "id")).alias("x"))
+    out = anti_join(source, spark.range(0, 50, 2).toDF("rid"), "id", "rid", limit=0)
+    assert out.count() == 25 and out.columns == source.columns
