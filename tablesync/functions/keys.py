@@ -43,7 +43,7 @@ def normalise_key(col: Column | str, kind: str = "plain", side: str = "source")
     if kind == "numeric":
         # A cast alone would round: an id with a fraction equals no whole number.
         whole, exact = col.try_cast("decimal(38,0)"), col.try_cast("decimal(38,9)")
-        return F.when(exact.isNull() | (exact == whole), whole)
+        return F.when(exact.isNull() | (exact % 1 == 0), whole)
     if kind == "integer":
         return col.try_cast("bigint")
     if kind.startswith("pad10"):
