@@ -126,7 +126,7 @@ _LINES = f"(SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT c_custk
     UNION ALL SELECT 2, 'orders', 'orders_full', 'full', {_EPOCH}, NULL, 0, o, o, o, 'loaded', NULL FROM n
     UNION ALL SELECT 3, 'lineitem', 'lineitem_inc', 'incremental', {_EPOCH}, l, 0, lk, lk, lk, 'loaded', NULL FROM n
     UNION ALL SELECT 4, 'events', 'events_inc', 'incremental', {_EPOCH}, e, 0, e, e, e, 'loaded', NULL FROM n
-    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', {_EPOCH}, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST})""",
+    UNION ALL SELECT 5, 'orders', 'lost', 'incremental', NULL, NULL, NULL, NULL, NULL, NULL, 'error', {_LOST})""",
     name="sync_manifest",
 )
 def sync_manifest_run(spark, sf_dir):
@@ -143,7 +143,7 @@ def sync_manifest_run(spark, sf_dir):
     UNION ALL SELECT 2, 'files', 'truncate', NULL, 'orders_full', {_EPOCH}, NULL, 'pending'
     UNION ALL SELECT 3, 'files', 'append', 'l_shipdate', 'lineitem_inc', {_EPOCH}, cast((SELECT count(*) FROM lineitem) AS varchar), 'pending'
     UNION ALL SELECT 4, 'files', 'append', 'ts', 'events_inc', {_EPOCH}, cast((SELECT count(*) FROM events) AS varchar), 'pending'
-    UNION ALL SELECT 5, 'nowhere', 'append', 'o_orderdate', 'lost', {_EPOCH}, NULL, 'error'""",
+    UNION ALL SELECT 5, 'nowhere', 'append', 'o_orderdate', 'lost', NULL, NULL, 'error'""",
     name="plan_manifest",
 )
 def plan_manifest_run(spark, sf_dir):

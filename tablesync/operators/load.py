@@ -2,7 +2,7 @@
 
 A path target holds one folder per load, named <number>-<kind>. A marker that is written
 last says that a load is complete, so a load shows up whole or not at all: a half-written
-folder is never read. A replacement starts a new series; nothing that
+folder is never read. The marker's name ends in the load's number of rows. A replacement starts a new series; nothing that
 a running query may still be reading is overwritten. A table target swaps its location
 instead. Both assume one writer per target at a time.
 """
@@ -21,6 +21,7 @@ from ..session import delete, matching, path_exists, touch
 
 MODES = ("append", "truncate", "empty", "recreate")
 
+SPLIT = "split_value"
 NUMBERED = "[0-9]" * 8
 COMMITTED = "_COMMITTED"  # Spark's own marker can be switched off
 UNIQUE = re.compile(r"[0-9a-f]{32}")
@@ -50,11 +51,16 @@ class PathTarget:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.name = spark, path.rstrip("/")
+        self.split_by: str | None = None
+        self._written: str | None = None
+        self._rows: dict[str, int] = {}
 
     def _loads(self) -> list[str]:
         """Folders that make up the current contents, oldest first. Files that lie in
         the target's folder itself count as its first load."""
-        done = sorted({m.rpartition("/")[0] for m in matching(self.spark, f"{self.name}/{NUMBERED}-*/{{{COMMITTED},_SUCCESS}}")})
+        markers = [m.rpartition("/")[::2] for m in matching(self.spark, f"{self.name}/{NUMBERED}-*/{{{COMMITTED}*,_SUCCESS}}")]
+        self._rows = {folder: int(name.rpartition("-")[2]) for folder, name in markers if "-" in name}
+        done = sorted({folder for folder, _ in markers})
         starts = [i for i, d in enumerate(done) if d.endswith("-replace")]
         if starts:
             return done[starts[-1]:]
@@ -80,15 +86,43 @@ class PathTarget:
     def read(self) -> DataFrame:
         """Every load is written with all columns known by then, so the last one has the
         columns of all; earlier ones read as null without a look at their footers."""
+        return self._read(self._loads())
+
+    def _read(self, loads: list[str]) -> DataFrame:
+        def reader(path: str):
+            # Folders of a split load repeat a column that its files have too.
+            return self.spark.read.option("recursiveFileLookup", path != self.name)
+
+        schema = reader(loads[-1]).parquet(loads[-1]).schema
+        own, loaded = [p for p in loads if p == self.name], [p for p in loads if p != self.name]
+        parts = [reader(paths[0]).schema(schema).parquet(*paths) for paths in (own, loaded) if paths]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def count(self) -> int:
+        """Rows of the current contents. Loads know theirs; only files of others are counted."""
         loads = self._loads()
-        schema = self.spark.read.parquet(loads[-1]).schema
-        return self.spark.read.schema(schema).parquet(*loads)
+        unknown = [p for p in loads if p not in self._rows]
+        return sum(self._rows.get(p, 0) for p in loads) + (self._read(unknown).count() if unknown else 0)
 
     def _write(self, df: DataFrame, kind: str) -> None:
         taken = matching(self.spark, f"{self.name}/{NUMBERED}-*")
         path = f"{self.name}/{max(map(_number, taken), default=0) + 1:08d}-{kind}"
-        df.write.parquet(path)
-        touch(self.spark, f"{path}/{COMMITTED}")
+        if self.split_by is None:
+            df.write.parquet(path)
+        else:
+            # A copy of the column: a folder name can't tell an empty text from null, nor '01' from 1.
+            folder = SPLIT
+            while folder in {c.lower() for c in df.columns}:
+                folder += "_"
+            df.withColumn(folder, F.col(f"`{self.split_by}`")).write.partitionBy(folder).parquet(path)
+        self._written = path
+
+    def commit(self, rows: int) -> None:
+        """Make the load that was written visible."""
+        touch(self.spark, f"{self._written}/{COMMITTED}-{rows}")
+
+    def partition_columns(self) -> list[str]:
+        return [self.split_by] if self.split_by else []
 
     def create(self, df: DataFrame) -> None:
         self._write(df, "replace")
@@ -110,6 +144,7 @@ class TableTarget:
     def __init__(self, spark: SparkSession, name: str, location: str | None = None):
         self.spark, self.name = spark, name
         self._base = location
+        self.split_by: str | None = None
 
     def _new_location(self) -> str:
         base = self._base or self.spark.conf.get("spark.sql.warehouse.dir")
@@ -128,6 +163,18 @@ class TableTarget:
     def _partition_columns(self) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
 
+    def partition_columns(self) -> list[str]:
+        """What rows are gathered by before a write: a table that has no partitions keeps a
+        column it is split by in files of few values, which Spark skips by their statistics."""
+        parts = self._partition_columns() if self.exists() else []
+        return parts or ([self.split_by] if self.split_by else [])
+
+    def count(self) -> int:
+        return self.read().count()
+
+    def commit(self, rows: int) -> None:
+        """The catalog has made the load visible."""
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
@@ -260,6 +307,7 @@ def load_table(
     report_col: str | None = None,
     location: str | None = None,
     rebalance: bool = False,
+    split_by: str | None = None,
 ) -> LoadResult:
     """Load df in one write.
 
@@ -270,22 +318,31 @@ def load_table(
 
     Rows written are counted by the write itself, which reads the source once. Each task
     writes a file; rebalance gathers the rows of a small part of a large source, which
-    come from many tasks, into files of ordinary size first.
+    come from many tasks, into files of ordinary size first. split_by keeps the values of a
+    column apart: a path target gets a folder per value in the load's folder, a table files
+    of few values. Rows of a partitioned table are gathered by its partitions.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
     spark = df.sparkSession
     opened = open_target(spark, target, location)
+    have = {c.lower() for c in df.columns}
+    if split_by and split_by.lower() not in have:
+        raise ValueError(f"no column {split_by!r} to split by")
+    opened.split_by = split_by
     exists = opened.exists()
-    before = opened.read().count() if exists else 0
-    if mode == "empty" and before:
-        raise TargetNotEmpty(f"{target} holds {before} rows")
+    if mode == "empty" and exists and not opened.read().isEmpty():
+        raise TargetNotEmpty(f"{target} holds rows")
+    before = opened.count() if exists and mode != "empty" else 0
 
     seen = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     if report_col:
         metrics.append(F.max(report_col).cast("string").alias("report"))
-    counted = (df.hint("rebalance") if rebalance else df).observe(seen, *metrics)
+    gather = [c for c in opened.partition_columns() if c.lower() in have]
+    # Before the count, which then is part of the write's own stage: a task that runs twice counts once.
+    df = df.hint("rebalance", *gather) if gather or rebalance else df
+    counted = df.observe(seen, *metrics)
     if not exists:
         opened.create(counted)
     elif mode == "append":
@@ -296,10 +353,15 @@ def load_table(
         opened.truncate(counted)
 
     rows = seen.get["rows"]
+    opened.commit(rows)
     total = before + rows if mode == "append" else rows
     report_max = seen.get.get("report")
     if report_col and mode == "append" and before:
-        report_max = opened.read().agg(F.max(report_col).cast("string")).first()[0]
+        # The target's largest value is among those that reach the load's: few row groups hold such.
+        held = opened.read()
+        if report_max is not None:
+            held = held.where(F.col(report_col) >= F.lit(report_max).cast(held.select(report_col).schema[0].dataType))
+        report_max = held.agg(F.max(report_col).cast("string")).first()[0]
     return LoadResult(target, before, rows, total, report_max)
 
 

@@ -15,12 +15,13 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clean import scrub_delims
-from ..operators.load import LoadResult, load_table, read_target, stage
+from ..operators.load import LoadResult, load_table, read_target
 from ..operators.restrict import RestrictionList, anti_join, prepare_list
-from ..operators.watermark import EPOCH, Watermark, count_new, newer_than, read_watermark
-from ..session import new_path
+from ..operators.watermark import EPOCH, Watermark, count_new, dtype_of, newer_than, read_watermark
+from ..session import delete, intermediates, noting
 from ..sources.connections import Connections
 from ..sources.jdbc import jdbc_literal, mark_text
 from .manifest import Entry, entries
@@ -37,18 +38,20 @@ PLAN_SCHEMA = (
     "pattern string, watermark string, rows_to_load bigint, status string, error string"
 )
 
-SPLIT = "split_value"
-
 UP_TO_DATE = "Tables are up to date."
 
 
 @dataclass(frozen=True)
 class Pending:
-    """An entry with its mark and the number of newer rows; None when not counted."""
+    """An entry with its mark and the number of newer rows; None when not counted.
+
+    mark_type is the type of a database's date column, None for other sources.
+    """
 
     entry: Entry
     mark: Watermark | None
     rows_to_load: int | None
+    mark_type: T.DataType | None = None
 
     @property
     def due(self) -> bool:
@@ -62,7 +65,8 @@ class _Run:
         self.spark, self.conns, self.targets = spark, conns, targets
         self.past_marks = past_marks
         self._lists: dict[tuple, RestrictionList] = {}
-        self._lists_lock = Lock()
+        self._locks: dict[tuple, Lock] = {}
+        self._paths: list[str] = []  # of the lists, which outlive an entry
 
     def target(self, entry: Entry) -> str:
         return f"{self.targets.rstrip('/')}/{entry.gcptable}" if "/" in self.targets else f"{self.targets}.{entry.gcptable}"
@@ -79,11 +83,14 @@ class _Run:
         if past and mark.text == EPOCH and target is not None and entry.pattern == "delta_replace":
             # All newer rows were restricted and left the target empty: its mark is the audited one.
             mark = Watermark(past)
-        return Pending(entry, mark, self._count(entry, mark))
+        dtype = None
+        if self.conns.is_jdbc(entry.server):
+            dtype = dtype_of(self.conns.read(entry.server, entry.tablename), entry.datecolumn)
+        return Pending(entry, mark, self._count(entry, mark, dtype), dtype)
 
-    def _count(self, entry: Entry, mark: Watermark) -> int:
+    def _count(self, entry: Entry, mark: Watermark, dtype: T.DataType | None) -> int:
         if self.conns.is_jdbc(entry.server):
-            literal = jdbc_literal(mark, self.conns.dialect(entry.server))
+            literal = jdbc_literal(mark, self.conns.dialect(entry.server), dtype, self.conns.timezone(entry.server))
             counted = self.conns.read(
                 entry.server,
                 f"select count(*) rows_to_load from {entry.tablename} where {entry.datecolumn} > {literal}",
@@ -95,7 +102,9 @@ class _Run:
     def bound_query(self, p: Pending) -> str | None:
         if p.entry.query is None:
             return None
-        text = mark_text(p.mark, self.conns.dialect(p.entry.server)) if p.mark else None
+        server, text = p.entry.server, None
+        if p.mark:
+            text = mark_text(p.mark, self.conns.dialect(server), p.mark_type, self.conns.timezone(server))
         return bind_query(p.entry.query, p.entry.tablename, p.entry.datecolumn, text)
 
     def extract(self, p: Pending) -> DataFrame:
@@ -126,24 +135,20 @@ class _Run:
         """Lists are few and shared by many entries, so each is reduced once per run."""
         server = entry.restrict_server or entry.server
         key = (server, entry.restrict_table, entry.restrict_key, entry.normalise)
-        with self._lists_lock:
+        with self._locks.setdefault(key, Lock()):  # entries wait for their own list only
             if key not in self._lists:
                 listed = self.conns.read(server, entry.restrict_table)
-                self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
+                with noting(self._paths):
+                    self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
             return self._lists[key]
 
+    def remove_lists(self) -> None:
+        for path in self._paths:
+            delete(self.spark, path)
+
     def load(self, p: Pending) -> LoadResult:
-        rows = self.extract(p)
-        if p.entry.splitby:
-            rows = self._staged(rows, p.entry.splitby)
-        return load_table(rows, self.target(p.entry), p.entry.mode, rebalance=p.entry.uses_mark)
-
-    def _staged(self, rows: DataFrame, split_by: str) -> DataFrame:
-        """Stage in folders by a copy of the column: a folder name cannot tell an empty
-        text from null, nor '01' from 1, so the column itself stays in the files."""
-        path = new_path(self.spark, "staged")
-        stage(rows.withColumn(SPLIT, F.col(split_by)), path, SPLIT)
-        return self.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+        entry = p.entry
+        return load_table(self.extract(p), self.target(entry), entry.mode, rebalance=entry.uses_mark, split_by=entry.splitby)
 
     def audited(self, entry: Entry) -> tuple:
         """Run one entry and describe it; the description of a failure is its row."""
@@ -153,7 +158,8 @@ class _Run:
             p = self.pending(entry)
             mark, to_load = p.mark, p.rows_to_load
             if p.due:
-                loaded = self.load(p)
+                with intermediates(self.spark):
+                    loaded = self.load(p)
             status = "loaded" if p.due else "up_to_date"
         except Exception as e:  # an entry must not stop the others
             error = f"{type(e).__name__}: {str(e)[:1000]}"
@@ -164,7 +170,8 @@ def audit_row(position, table, target, pattern, action, mark, to_load, loaded: L
     counts = (None,) * 5
     if loaded:
         counts = (loaded.rows_before, loaded.rows_written, loaded.rows_total, loaded.net_change, loaded.report_max)
-    text = mark.text if mark else EPOCH
+    # A failed entry's mark is unknown until it was read; an entry without one starts at the epoch.
+    text = mark.text if mark else None if status == "error" else EPOCH
     return (dt.datetime.now(), position, table, target, pattern, action, text, to_load, *counts, status, error)
 
 
@@ -200,7 +207,7 @@ def plan_manifest(spark: SparkSession, manifest: DataFrame, conns: Connections,
             error = f"{type(e).__name__}: {str(e)[:1000]}"
         rows.append(
             (entry.position, query, entry.server, entry.mode, entry.datecolumn, entry.gcptable, entry.pattern,
-             mark.text if mark else EPOCH, to_load, status, error)
+             mark.text if mark else None if status == "error" else EPOCH, to_load, status, error)
         )
     return spark.createDataFrame(rows, PLAN_SCHEMA)
 
@@ -226,8 +233,11 @@ def sync_manifest(
     def in_order(group: list[Entry]) -> list[tuple]:
         return [run.audited(entry) for entry in group]
 
-    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
-        rows = [row for rows in pool.map(in_order, groups.values()) for row in rows]
+    try:
+        with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
+            rows = [row for rows in pool.map(in_order, groups.values()) for row in rows]
+    finally:
+        run.remove_lists()
     audit = spark.createDataFrame(sorted(rows, key=lambda r: r[1]), AUDIT_SCHEMA)
     if audit_target:
         load_table(audit, audit_target, "append")

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Where paths handed out in this thread are noted, if anywhere.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
 
 def local_session(cores: int | str = "*", **conf) -> SparkSession:
     """A session for tests and benches; on a cluster the deployer supplies one."""
@@ -35,13 +42,42 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="tablesync-"))
-    return spark.conf.get(CHECKPOINT_DIR)
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tablesync-")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/tablesync/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tablesync/{label}-{uuid.uuid4().hex}"
+    if (noted := _noted.get()) is not None:
+        noted.append(path)
+    return path
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Note in paths what new_path hands out in this thread."""
+    before = _noted.set(paths)
+    try:
+        yield
+    finally:
+        _noted.reset(before)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, after a failure too, what was written to new paths of this thread."""
+    paths: list[str] = []
+    try:
+        with noting(paths):
+            yield
+    finally:
+        for path in paths:
+            delete(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

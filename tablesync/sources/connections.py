@@ -19,7 +19,7 @@ class Connections:
 
     Each is a mapping with a `format`:
 
-    jdbc     Spark's jdbc options, plus `dialect` and `database`
+    jdbc     Spark's jdbc options, plus `dialect`, `database` and `timezone`
     table    catalog tables; `database` is put before plain names
     other    files; `path` holds {table}, the rest are reader options
     """
@@ -40,6 +40,9 @@ class Connections:
     def dialect(self, server: str | None) -> str | None:
         return self.config(server).get("dialect")
 
+    def timezone(self, server: str | None) -> str:
+        return self.config(server).get("timezone", "UTC")
+
     def read(self, server: str | None, table: str, **jdbc) -> DataFrame:
         """A table of the named source; jdbc sources take a query as well."""
         config = self.config(server)

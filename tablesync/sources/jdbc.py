@@ -1,20 +1,24 @@
 """JDBC reads and writes.
 
 A connection is a mapping of Spark's jdbc options (url, driver, user, ...) that the
-caller supplies. `dialect` ('oracle' or 'sqlserver') and `database` are ours.
+caller supplies. `dialect` ('oracle' or 'sqlserver'), `database` and `timezone`, the zone that the
+database's times without an offset are in (UTC if not named), are ours.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from decimal import Decimal
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from ..operators.watermark import Watermark
+from ..operators.watermark import EPOCH, Watermark
 from .files import read_parquet_tree
 
 # Rows per round trip and parallel writers.
@@ -23,7 +27,9 @@ BATCH_SIZE = 1_000
 WRITE_PARTITIONS = 10
 SPLITS = 5
 
-OWN_OPTIONS = ("dialect", "database")
+OWN_OPTIONS = ("dialect", "database", "timezone")
+
+NUMBER = re.compile(r"-?\d+(\.\d+)?")
 
 
 def jdbc_options(conn: Mapping[str, str], database: str | None = None) -> dict[str, str]:
@@ -183,22 +189,45 @@ def read_jdbc(
     return _load(spark, {**options, **ranged})
 
 
-def jdbc_literal(mark: Watermark, dialect: str | None) -> str:
-    """A mark as SQL text of the source database; an Oracle DATE holds whole seconds."""
-    if dialect == "oracle":
-        return f"to_date('{mark.text[:19]}','yyyy-mm-dd hh24:mi:ss')"
-    return "'" + mark_text(mark, dialect) + "'"
-
+def jdbc_literal(mark: Watermark, dialect: str | None, dtype: T.DataType | None = None, zone: str = "UTC") -> str:
+    """A mark as SQL text of the source database; an Oracle DATE holds whole seconds.
 
-def mark_text(mark: Watermark, dialect: str | None) -> str:
-    """The mark in the precision its source can compare: seconds, or milliseconds."""
-    if dialect == "oracle":
-        return mark.text[:19]
+    dtype is the type of the compared column; without it the mark's text tells.
+    """
+    text = mark_text(mark, dialect, dtype, zone)
+    if isinstance(dtype, T.NumericType) or (dtype is None and NUMBER.fullmatch(text)):
+        return text
+    if dialect == "oracle" and _moment(mark.text, dtype):
+        return f"to_date('{text[:10]}','yyyy-mm-dd')" if len(text) == 10 else f"to_date('{text}','yyyy-mm-dd hh24:mi:ss')"
+    return f"'{text}'"
+
+
+def mark_text(mark: Watermark, dialect: str | None, dtype: T.DataType | None = None, zone: str = "UTC") -> str:
+    """The mark as its source compares it: numbers as they are, times in whole seconds or
+    milliseconds. A mark with an offset becomes the time on the clock of zone, the source's."""
+    if isinstance(dtype, T.NumericType) and mark.text == EPOCH:
+        return "0"
+    moment = _moment(mark.text, dtype)
+    if moment is None:
+        return mark.text
+    if len(mark.text) == 10:
+        return mark.text
+    if isinstance(dtype, T.DateType):
+        return moment.date().isoformat()
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+    fine = moment.microsecond and dialect != "oracle"
+    return moment.isoformat(sep=" ", timespec="milliseconds" if fine else "seconds")
+
+
+def _moment(text: str, dtype: T.DataType | None) -> dt.datetime | None:
+    """A mark's time, if it is one: text of a number or of a text column is none."""
+    if isinstance(dtype, (T.NumericType, T.StringType)) or NUMBER.fullmatch(text):
+        return None
     try:
-        dt.datetime.fromisoformat(mark.text[:19])
+        return dt.datetime.fromisoformat(text)
     except ValueError:
-        return mark.text
-    return mark.text[:23].removesuffix("Z")
+        return None
 
 
 def write_jdbc(

@@ -10,9 +10,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import Connections, export_tree, load_table, manifest_rows, plan_manifest, read_jdbc, read_target, sync_manifest, text_splits, write_jdbc
-from tablesync.operators.watermark import Watermark
+from tablesync.operators.watermark import EPOCH, Watermark, read_watermark
 from tablesync.plans.manifest import RAW_SCHEMA
 from tablesync.sources import jdbc
 from tablesync.sources.jdbc import jdbc_literal, jdbc_options, mark_text, relation
@@ -136,6 +137,31 @@ def test_marks_by_dialect():
     assert mark_text(Watermark("202401"), "sqlserver") == "202401"
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_marks_by_column_type_and_session_zone(spark, zone):
+    """The text that a database compares, from marks read in two session zones."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        held = spark.sql("SELECT timestamp'2024-01-02 03:04:05.678901Z' AS at, 202401 AS ccyymm, date'2024-01-02' AS day")
+        at, ccyymm, day = (read_watermark(held, c) for c in ("at", "ccyymm", "day"))
+        cut = [read_watermark(held, "at", p) for p in ("milli", "second")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    kind = T.TimestampType()
+    assert jdbc_literal(at, "sqlserver", kind) == "'2024-01-02 03:04:05.678'"
+    assert jdbc_literal(at, "sqlserver", kind, "America/New_York") == "'2024-01-01 22:04:05.678'"
+    assert jdbc_literal(at, "oracle", kind) == "to_date('2024-01-02 03:04:05','yyyy-mm-dd hh24:mi:ss')"
+    assert [mark_text(m, "sqlserver", kind) for m in cut] == ["2024-01-02 03:04:05.678", "2024-01-02 03:04:05"]
+    for dialect in ("oracle", "sqlserver"):
+        assert jdbc_literal(ccyymm, dialect, T.IntegerType()) == jdbc_literal(ccyymm, dialect) == "202401"
+        assert jdbc_literal(Watermark(EPOCH), dialect, T.IntegerType()) == mark_text(Watermark(EPOCH), dialect, T.LongType()) == "0"
+        assert jdbc_literal(Watermark("20240102"), dialect, T.StringType()) == "'20240102'"
+    assert jdbc_literal(day, "sqlserver", T.DateType()) == "'2024-01-02'"
+    assert jdbc_literal(day, "oracle", T.DateType()) == "to_date('2024-01-02','yyyy-mm-dd')"
+    assert jdbc_literal(Watermark(EPOCH), "oracle", kind) == f"to_date('{EPOCH}','yyyy-mm-dd hh24:mi:ss')"
+
+
 @pytest.mark.parametrize(("mode", "save_mode", "truncate"), [("append", "append", "false"), ("truncate", "overwrite", "true")])
 def test_write(mode, save_mode, truncate):
     df = MagicMock()

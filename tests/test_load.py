@@ -209,3 +209,45 @@ def test_loads_without_sparks_marker_are_seen(spark, tmp_path):
     finally:
         conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert [r.rows_total for r in results] == [5, 10] and read_target(spark, f"{tmp_path}/t").count() == 10
+
+
+def test_loads_know_their_rows(spark, tmp_path):
+    """Only files of others are opened to count a target."""
+    own, plain = f"{tmp_path}/own", f"{tmp_path}/plain"
+    spark.range(3).write.parquet(plain)
+    for target, before in ((own, 0), (plain, 3)):
+        for i in range(2):
+            out = load_table(spark.range(4), target, "append")
+            assert (out.rows_before, out.rows_total) == (before + 4 * i, before + 4 * i + 4)
+        opened = PathTarget(spark, target)
+        assert opened.count() == before + 8 == opened.read().count() and len(opened._rows) == 2
+
+
+def test_a_split_load_keeps_the_layout_and_the_values(spark, target):
+    rows = spark.range(0, 400, 1, 8).selectExpr("id", "element_at(array('01', '1', '', null), cast(id % 4 as int) + 1) AS part")
+    load_table(rows, target, split_by="part")
+    load_table(rows.where("id < 8"), target, "append", split_by="part")
+    load_table(rows.where("id = 1"), target, "append")
+    found = read_target(spark, target)
+    assert found.columns == ["id", "part"]
+    assert {r["part"]: r["count"] for r in found.groupBy("part").count().collect()} == {"01": 102, "1": 103, "": 102, None: 102}
+    if "/" in target:
+        folders = [d for d in os.listdir(f"{target}/00000001-replace") if "=" in d]
+        assert sorted(folders) == ["split_value=01", "split_value=1", "split_value=__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_files_of_a_partitioned_table_are_bounded(spark, tmp_path):
+    name = "default.many_parts"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = spark.range(0, 4000, 1, 40).selectExpr("id", "id % 20 AS part")
+    rows.limit(0).write.format("parquet").option("path", str(tmp_path / "t")).partitionBy("part").saveAsTable(name)
+    assert load_table(rows, name, "append").rows_total == 4000
+    files = [f for _, _, found in os.walk(tmp_path / "t") for f in found if f.endswith(".parquet")]
+    assert len(files) <= 40
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_report_date_after_an_append_of_older_rows(spark, target):
+    load_table(numbers(spark, 5, 9), target)
+    assert load_table(numbers(spark, 0, 3), target, "append", report_col="id").report_max == "8"
+    assert load_table(numbers(spark, 0, 0), target, "append", report_col="id").report_max == "8"

@@ -1,3 +1,6 @@
+import os
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +8,7 @@ from tablesync import (
     Connections, Watermark, bind_query, load_manifest, load_table, manifest_rows, plan_manifest, read_target, run_script,
     sql_template, sync_manifest, sync_report,
 )
+from tablesync.plans import sync
 from tablesync.plans.manifest import RAW_SCHEMA, entries
 from tablesync.plans.sqljob import statements
 
@@ -155,6 +159,22 @@ def test_one_failing_entry_does_not_stop_the_rest(source):
     assert audit[0]["error"].startswith("UnknownServer") and audit[4]["error"].startswith("TargetNotEmpty")
 
 
+def test_a_sync_leaves_no_intermediates(source, spark, monkeypatch):
+    """Lists, counts and copies go after the run, also where an entry fails."""
+    shared = f"{spark.conf.get('spark.checkpoint.dir')}/tablesync"
+    before = os.listdir(shared) if os.path.isdir(shared) else []
+    monkeypatch.setattr(sync, "anti_join", partial(sync.anti_join, limit=0))
+    audit = source.sync(entry(datecolumn="upd", **RESTRICTED), entry(gcptable="b", **RESTRICTED),
+                        entry(gcptable="c", splitby="absent", **RESTRICTED), parallel=2)
+    assert [r["status"] for r in audit] == ["loaded", "loaded", "error"]
+    assert source.held() == source.held("b") == allowed(0, 10)
+    assert sorted(os.listdir(shared)) == sorted(before)
+
+
+def test_a_failure_has_no_mark(source):
+    assert source.sync(entry(gcptable="a", server="nowhere"))[0]["watermark"] is None
+
+
 def test_an_error_in_the_target_does_not_reload_it(source, spark):
     """Only a missing or empty target starts at the epoch."""
     load_table(spark.range(3), f"{source.root}/target")
