@@ -124,7 +124,7 @@ def archive_expand(spark, sf_dir):
 
 
 @query(
-    """SELECT 'append' AS action, CASE WHEN c_acctbal > 0 THEN 'last_updt_ts' END AS datecolumn, c_mktsegment AS dntl,
+    """SELECT 'append' AS action, CASE WHEN c_acctbal > 0 THEN 'changed_at' END AS datecolumn, c_mktsegment AS dntl,
     lower(c_name) AS gcptable, 'select * from $1 where $2 > ''$3'', "' || c_name || '"' AS query, 'src1' AS server, cast(NULL AS varchar) AS splitby,
     'db.dbo.t' || cast(c_custkey AS varchar) AS tablename, 't' || cast(c_custkey AS varchar) AS name FROM customer"""
 )
@@ -133,7 +133,7 @@ def manifest_scan(spark, sf_dir):
     path = new_path(spark, "manifest") + ".csv"
     raw = table(spark, sf_dir, "customer").select(
         F.lit(" Append ").alias("action"),
-        F.when(F.col("c_acctbal") > 0, "LAST_UPDT_TS").otherwise(" None ").alias("datecolumn"),
+        F.when(F.col("c_acctbal") > 0, "CHANGED_AT").otherwise(" None ").alias("datecolumn"),
         F.col("c_mktsegment").alias("dntl"),
         F.upper("c_name").alias(" gcptable"),
         F.concat(F.lit("select * from $1 where $2 > '$3', \""), "c_name", F.lit('"')).alias("query"),
@@ -165,7 +165,7 @@ def run_log_parse(spark, sf_dir):
     number, kind = F.col("event_id").cast("string"), F.col("event_type")
     message = (
         F.when(kind == "click", F.concat(F.lit("Rows to load = "), number))
-        .when(kind == "error", F.concat(F.lit("Target table:target  last_updt_ts Max date = "), logged))
+        .when(kind == "error", F.concat(F.lit("Target table:target  changed_at Max date = "), logged))
         .when(kind == "view", F.concat(
             F.lit("Total rows added for a.b.c = -"), number,
             F.lit(" for a total table count of "), F.col("user_id").cast("string")))

@@ -1,6 +1,6 @@
 """Incremental, restriction-filtered, audited table loads on Spark."""
 
-from .functions import conform, declared_type, normalise_key, scrub_delims
+from .functions import conform, declared_type, normalise_key, scrub_delims, table_of_file
 from .operators import *  # noqa: F401,F403
 from .operators import __all__ as _operators
 from .plans import *  # noqa: F401,F403
@@ -11,5 +11,5 @@ from .sources import __all__ as _sources
 
 __all__ = [
     *_operators, *_plans, *_sources,
-    "conform", "declared_type", "local_session", "normalise_key", "scrub_delims",
+    "conform", "declared_type", "local_session", "normalise_key", "scrub_delims", "table_of_file",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,3 +46,8 @@ def conform(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     if absent:
         raise ValueError(f"no such columns: {absent}")
     return df.withColumns({c: F.col(c).cast(declared_type(t)) for c, t in mapping.items()})
+
+
+def table_of_file(name: str) -> Column:
+    """The table that a file's name stands for: what comes before the first dot and before `__`."""
+    return F.split_part(F.split_part(F.col(name), F.lit("."), F.lit(1)), F.lit("__"), F.lit(1))

@@ -14,13 +14,14 @@ from ..sources.jdbc import SPLITS
 FIELDS = ("action", "datecolumn", "dntl", "gcptable", "query", "server", "splitby", "tablename")
 
 # Fields that keep their case.
-AS_WRITTEN = ("dntl", "query", "restrict_key", "read_by", "read_then_by")
+AS_WRITTEN = ("dntl", "query", "restrict_key", "read_by", "read_then_by", "restrict_read_by")
 
 # Our own, optional. A declared restriction in place of SQL text, dntl being its source
-# key; how the mark is cut and used; a parallel read of a database; clean text.
+# key; how the mark is cut and used; a parallel read of a database, and of the list; clean
+# text; may the extract bring new columns, and whose largest value does the audit report.
 OPTIONS = (
-    "restrict_server", "restrict_table", "restrict_key", "normalise", "keep_right",
-    "precision", "extract", "read_by", "read_then_by", "read_parts", "scrub",
+    "restrict_server", "restrict_table", "restrict_key", "normalise", "keep_right", "restrict_read_by",
+    "precision", "extract", "read_by", "read_then_by", "read_parts", "scrub", "add_columns", "report_col",
 )
 
 # Texts that mean that a field is empty.
@@ -80,12 +81,15 @@ class Entry:
     restrict_key: str | None
     normalise: str
     keep_right: bool
+    restrict_read_by: str | None
     precision: str
     extract: str | None
     read_by: str | None
     read_then_by: str | None
     read_parts: int
     scrub: bool
+    add_columns: bool
+    report_col: str | None
     problem: str | None = None  # why the entry can't run
 
     @classmethod
@@ -101,7 +105,7 @@ class Entry:
             values["problem"] = f"blank fields: {missing}"
         elif not parts.isdecimal() or not int(parts):
             values["problem"] = f"read_parts must be a whole number of 1 or more, not {parts!r}"
-        for switch in ("keep_right", "scrub"):
+        for switch in ("keep_right", "scrub", "add_columns"):
             values[switch] = values[switch] in ("true", "yes", "1")
         return cls(position, **values)
 

@@ -38,7 +38,9 @@ PLAN_SCHEMA = (
     "pattern string, watermark string, rows_to_load bigint, status string, error string"
 )
 
+# Texts of the report.
 UP_TO_DATE = "Tables are up to date."
+LAST_DATE = " : Last date: "
 
 
 @dataclass(frozen=True)
@@ -137,7 +139,8 @@ class _Run:
         key = (server, entry.restrict_table, entry.restrict_key, entry.normalise)
         with self._locks.setdefault(key, Lock()):  # entries wait for their own list only
             if key not in self._lists:
-                listed = self.conns.read(server, entry.restrict_table)
+                split = {"split_by": entry.restrict_read_by, "num_partitions": entry.read_parts} if self.conns.is_jdbc(server) else {}
+                listed = self.conns.read(server, entry.restrict_table, **split)
                 with noting(self._paths):
                     self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
             return self._lists[key]
@@ -148,7 +151,8 @@ class _Run:
 
     def load(self, p: Pending) -> LoadResult:
         entry = p.entry
-        return load_table(self.extract(p), self.target(entry), entry.mode, rebalance=entry.uses_mark, split_by=entry.splitby)
+        return load_table(self.extract(p), self.target(entry), entry.mode, add_columns=entry.add_columns,
+                          report_col=entry.report_col, rebalance=entry.uses_mark, split_by=entry.splitby)
 
     def audited(self, entry: Entry) -> tuple:
         """Run one entry and describe it; the description of a failure is its row."""
@@ -249,7 +253,7 @@ def sync_report(audit: DataFrame) -> DataFrame:
     loaded = audit.where("status = 'loaded'").select(
         "target",
         F.col("watermark").alias("last_date"),
-        F.concat("target", F.lit(" : Last date: "), "watermark").alias("message"),
+        F.concat("target", F.lit(LAST_DATE), "watermark").alias("message"),
     )
     nothing = audit.agg(F.count_if(F.col("status") == "loaded").alias("n")).where("n = 0")
     return loaded.unionByName(

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync import load_manifest, normalise_key
+from tablesync import load_manifest, normalise_key, table_of_file
 from tablesync.plans.manifest import entries
 from tablesync.sources.files import read_csv_strings
 
@@ -31,3 +31,9 @@ def test_all_files_of_a_manifest_and_their_problems(spark, tmp_path):
     found = entries(load_manifest(spark, f"{tmp_path}/*.yml"))
     assert [e.tablename for e in found] == ["s.one", "s.two", "s.three"]
     assert "read_parts" in found[0].problem and "gcptable" in found[1].problem and found[2].problem is None
+
+
+def test_the_table_of_a_file(spark):
+    names = ["orders__2024.csv.gz", "orders.v2__x.csv", "a_b", "__x", None]
+    df = spark.createDataFrame([(n,) for n in names], "f string")
+    assert [r[0] for r in df.select(table_of_file("f")).collect()] == ["orders", "orders", "a_b", "", None]

@@ -171,6 +171,19 @@ def test_a_sync_leaves_no_intermediates(source, spark, monkeypatch):
     assert sorted(os.listdir(shared)) == sorted(before)
 
 
+def test_new_columns_and_the_report_date_as_options(source, spark):
+    """An entry may let new columns in, and names the column whose largest value is reported."""
+    options = {"datecolumn": "upd", "report_col": "upd"}
+    assert source.sync(entry(**options))[0]["report_max"] == "2024-01-10 00:00:00"
+    wider = "select *, id * 2 as added from $1 where $2 > '$3'"
+    source.add(10, 12)
+    assert source.sync(entry(query=wider, **options))[0]["error"].startswith("ValueError: columns not in")
+    audit = source.sync(entry(query=wider, add_columns="true", **options))[0]
+    assert (audit["status"], audit["report_max"]) == ("loaded", "2024-01-12 00:00:00")
+    rows = read_target(spark, f"{source.root}/target")
+    assert sorted(r["added"] for r in rows.where("added is not null").collect()) == [20, 22]
+
+
 def test_a_failure_has_no_mark(source):
     assert source.sync(entry(gcptable="a", server="nowhere"))[0]["watermark"] is None
 

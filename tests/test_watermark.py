@@ -79,8 +79,8 @@ def test_epoch_milliseconds_keep_seconds(spark):
 
 
 def test_column_names_differ_in_case(spark):
-    df = times(spark, ["2024-01-01 00:00:00"]).withColumnRenamed("ts", "LAST_UPDT_TS")
-    assert newer_than(df, "last_updt_ts", read_watermark(df, "last_updt_ts")).count() == 0
+    df = times(spark, ["2024-01-01 00:00:00"]).withColumnRenamed("ts", "CHANGED_AT")
+    assert newer_than(df, "changed_at", read_watermark(df, "changed_at")).count() == 0
 
 
 def test_no_date_column_takes_all(spark):
