@@ -142,3 +142,19 @@ def test_cutting_keeps_the_rest():
     assert passages.without_spans(text, [1, 2], [3, 4]) == "  a e f\n"
     assert passages.without_spans(text, [0], [6]) == "\n"
     assert passages.without_spans(text, [4], [99]) == "  a b  c\nd\n"
+
+
+def covered_words(rows, doc):
+    return {k for r in rows if r["doc_id"] == doc for k in range(r["start"], r["end"])}
+
+
+def test_passages_that_repeat_themselves(spark):
+    rng = np.random.default_rng(6)
+    line = text_of(rng, 20)
+    periodic = [["same"] * 400, ["a", "b"] * 300, ["one", "short", "line", "again"] * 60, line * 20]
+    docs = [(10 * i + j, " ".join([*text_of(rng, 30 + 7 * j), *p, *text_of(rng, 30)])) for i, p in enumerate(periodic, 1) for j in (0, 1, 2)]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    for i, p in enumerate(periodic, 1):
+        for j in (1, 2):
+            assert covered_words(rows, 10 * i + j) >= set(range(30 + 7 * j, 30 + 7 * j + len(p)))
+    assert {r["doc_id"] for r in rows} == {10 * i + j for i in range(1, 5) for j in (1, 2)}
