@@ -158,3 +158,30 @@ def test_passages_that_repeat_themselves(spark):
         for j in (1, 2):
             assert covered_words(rows, 10 * i + j) >= set(range(30 + 7 * j, 30 + 7 * j + len(p)))
     assert {r["doc_id"] for r in rows} == {10 * i + j for i in range(1, 5) for j in (1, 2)}
+
+
+def test_partner_follows_from_the_passage(spark):
+    rng = np.random.default_rng(7)
+    shared = text_of(rng, 60)
+    around = lambda w: " ".join([*text_of(rng, 40), *w, *text_of(rng, 30)])
+    docs = [(1, around(shared[17:42])), (2, around(shared[:20])), (100, around(shared)), (200, around(shared)), (300, around(shared[:50]))]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["home_id"], r["start"], r["end"], r["agree"]) for r in rows) == [
+        (200, 100, 40, 100, 60), (300, 100, 40, 90, 50)]
+
+
+def test_passages_miss_no_exact_repeat(spark, sf_dir):
+    docs = {i: (t or "").lower().split() for i, t in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    rng = np.random.default_rng(8)
+    phrases = [text_of(rng, 30) for _ in range(40)]
+    docs |= {10**6 + i: [w for j in rng.integers(40, size=12) for w in phrases[j]] for i in range(60)}
+    covered = {i: set() for i in docs}
+    for r in passages.shared_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")).collect():
+        covered[r["doc_id"]] |= set(range(r["start"], r["end"]))
+    first, n = {}, 0
+    for i in sorted(docs):
+        for at in range(len(docs[i]) - 49):
+            if first.setdefault(tuple(docs[i][at : at + 50]), i) < i:
+                n += 1
+                assert covered[i] >= set(range(at, at + 50))
+    assert n > 1000
