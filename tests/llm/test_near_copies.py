@@ -185,3 +185,25 @@ def test_passages_miss_no_exact_repeat(spark, sf_dir):
                 n += 1
                 assert covered[i] >= set(range(at, at + 50))
     assert n > 1000
+
+
+def changed(rng, words, share, how):
+    n, out = int(share * len(words)), list(words)
+    for i in np.arange(n) * len(words) // n + 2 if how == "even" else rng.choice(len(words), n, replace=False):
+        out[i] = f"new{rng.integers(10**9)}"
+    return out
+
+
+def test_fuzzy_passages_are_found(spark):
+    rng = np.random.default_rng(9)
+    docs, kinds = [], {}
+    for kind in [(n, share, how) for n in (60, 120, 200) for share in (0.1, 0.15, 0.19) for how in ("even", "random")]:
+        for _ in range(20):
+            shared, i = text_of(rng, kind[0], 50_000), len(docs)
+            kinds[i + 1] = kind
+            docs += [(i, " ".join([*text_of(rng, 40, 50_000), *shared])), (i + 1, " ".join([*text_of(rng, 30, 50_000), *changed(rng, shared, *kind[1:])]))]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = {r["doc_id"] for r in rows if r["home_id"] == r["doc_id"] - 1}
+    for kind in set(kinds.values()):
+        share = np.mean([i in found for i in kinds if kinds[i] == kind])
+        assert share >= (0.9 if kind[0] > 60 or kind[1] < 0.15 else 0.6), kind
