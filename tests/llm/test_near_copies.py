@@ -207,3 +207,24 @@ def test_fuzzy_passages_are_found(spark):
     for kind in set(kinds.values()):
         share = np.mean([i in found for i in kinds if kinds[i] == kind])
         assert share >= (0.9 if kind[0] > 60 or kind[1] < 0.15 else 0.6), kind
+
+
+@pytest.mark.parametrize("inserted", [10, 13, 15, 20])
+def test_passages_go_on_over_inserted_words(spark, inserted):
+    rng = np.random.default_rng(inserted)
+    docs = []
+    for i in range(0, 20, 2):
+        shared = text_of(rng, 80, 50_000)
+        docs += [(i, " ".join(shared)), (i + 1, " ".join([*shared[:40], *text_of(rng, inserted, 50_000), *shared[40:]]))]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"], r["agree"]) for r in rows) == [(i, 0, 80 + inserted, 80) for i in range(1, 20, 2)]
+
+
+def test_align_splits_only_where_the_rule_fails():
+    rng = np.random.default_rng(10)
+    parts = [rng.integers(1 << 32, size=n, dtype=np.uint32) for n in (100, 120)]
+    for gap, spans in ((60, [(0, 100), (160, 280)]), (40, [(0, 260)])):
+        doc = np.concatenate([parts[0], rng.integers(1 << 32, size=gap, dtype=np.uint32), parts[1]])
+        at = np.array([5, 50, 90, 105 + gap, 150 + gap])
+        found = passages.align(doc, np.concatenate(parts), at, np.where(at > 100, at - gap, at))
+        assert [(s, e) for s, e, *_ in found] == spans
