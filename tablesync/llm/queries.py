@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, mixing, packing, passages, quality, quotes, simhash, sketches, urls, warc
+from . import balanced, covertree, mixing, packing, passages, quality, quotes, repair, simhash, sketches, spelling, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -108,3 +108,26 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, sent as mail that quotes two levels, put in reply order without quotes."""
     return quotes.conversations(quotes.with_quotes(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op11_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 4096 whose attention costs are alike, none padded."""
+    return balanced.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of seven letters or more, some with a letter lost, with the forms and roots they vary."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), damage_one_in=31)
+    return spelling.group_variants(words, min_length=7)
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, with faults put in: their faults, the cheapest repair and a digest of its result."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.audits(repair.repair(repair.damaged(rows)))
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return every.select("conv_id", *[F.coalesce(c, none.get(c, F.lit(0))).alias(c) for c in repair.AUDIT])
