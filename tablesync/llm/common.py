@@ -152,6 +152,21 @@ def _power_of_step(i: int) -> np.uint64:
     return np.uint64(pow(int(WORD_STEP), i + 1, 1 << 64))
 
 
+def slices(batches, text_column: str, most: int = 4 * CHUNK):
+    """Arrow batches in pieces of about `most` bytes of text; a longer text is a piece of its own."""
+    for batch in batches:
+        lengths = batch.column(text_column).cast("binary")
+        lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in lengths]
+        first, held = 0, 0
+        for i, n in enumerate(lengths):
+            if held and held + n > most:
+                yield batch.slice(first, i - first)
+                first, held = i, 0
+            held += n
+        if first < batch.num_rows:
+            yield batch.slice(first)
+
+
 def as_bytes(values) -> list[bytes]:
     """An Arrow column of texts as UTF-8; a null is an empty text."""
     return [b"" if v is None else v for v in values.cast("binary").to_pylist()]

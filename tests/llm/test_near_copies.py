@@ -194,6 +194,13 @@ def changed(rng, words, share, how):
     return out
 
 
+def test_texts_that_share_an_id_lose_nothing_of_their_own(spark):
+    shared, other = (" ".join(f"{c}{i}" for i in range(70)) for c in "ab")
+    docs = spark.createDataFrame([(1, shared), (2, shared + " tail"), (2, "z " + other), (2, None), (None, shared)], "doc_id long, text string")
+    cut = passages.cut_passages(docs, passages.shared_passages(docs)).collect()
+    assert sorted(map(str, (r["text"] for r in cut))) == sorted(map(str, [shared, " tail", "z " + other, None, shared]))
+
+
 def test_fuzzy_passages_are_found(spark):
     rng = np.random.default_rng(9)
     docs, kinds = [], {}
