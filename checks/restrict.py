@@ -133,10 +133,41 @@ def incremental_restricted(spark, sf_dir):
 )
 def prepared_list_shared(spark, sf_dir):
     """One list, reduced and written once, against several tables."""
-    listed = prepare_list(restricted(spark, sf_dir), "c_custkey", materialise=True)
+    listed = prepare_list(restricted(spark, sf_dir), "c_custkey")
 
     def kept(name, key):
         rows = anti_join(table(spark, sf_dir, name), listed, key)
         return rows.agg(F.lit(name).alias("source"), F.count("*").alias("kept"))
 
     return kept("orders", "o_custkey").unionByName(kept("customer", "c_custkey"))
+
+
+@query(
+    "SELECT l.* FROM lineitem l LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT') r "
+    "ON l.l_orderkey = r.o_orderkey WHERE r.o_orderkey IS NULL"
+)
+def anti_join_prefiltered(spark, sf_dir):
+    """A list that may not be broadcast: rows that its Bloom filter rules out are not shuffled."""
+    listed = orders(spark, sf_dir).where("o_orderpriority = '1-URGENT'")
+    return anti_join(table(spark, sf_dir, "lineitem"), listed, "l_orderkey", "o_orderkey", limit=0, prefilter=True)
+
+
+@query(
+    "SELECT l.*, l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AS is_restricted FROM lineitem l"
+)
+def restriction_flag_bitmap(spark, sf_dir):
+    """Listed whole numbers as one bit each."""
+    listed = prepare_list(orders(spark, sf_dir).where("o_orderstatus = 'F'"), "o_orderkey", "integer", bitmaps=True)
+    return flag_restricted(table(spark, sf_dir, "lineitem"), listed, "l_orderkey")
+
+
+@query(
+    "SELECT c.* FROM (SELECT *, 'Cafe' || chr(769) || ' ' || c_name AS cust_id FROM customer) c "
+    f"LEFT JOIN (SELECT 'CAF' || chr(201) || ' ' || upper(c_name) || '  ' AS id FROM {R_SQL}) r "
+    "ON nfc_normalize(lower(rtrim(c.cust_id))) = nfc_normalize(lower(rtrim(r.id))) WHERE r.id IS NULL"
+)
+def anti_join_collated(spark, sf_dir):
+    """An accent as a character of its own in the source, within the letter on the list."""
+    source = table(spark, sf_dir, "customer").withColumn("cust_id", F.concat(F.lit("Cafe\u0301 "), F.col("c_name")))
+    listed = restricted(spark, sf_dir).select(F.concat(F.lit("CAF\u00c9 "), F.upper("c_name"), F.lit("  ")).alias("id"))
+    return anti_join(source, listed, "cust_id", "id", "collated")

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 PAD_WIDTH = 10
 PADDING = "0000000000"
 
-KINDS = ("plain", "pad10", "ci", "pad10_ci", "numeric", "integer")
+# Accents count, case and trailing blanks do not, and Unicode's equivalent spellings are one.
+COLLATION = "UNICODE_CI_RTRIM"
+
+KINDS = ("plain", "pad10", "ci", "pad10_ci", "collated", "pad10_collated", "numeric", "integer")
 
 
 def padded(col: Column) -> Column:
@@ -48,6 +51,8 @@ def normalise_key(col: Column | str, kind: str = "plain", side: str = "source")
         return col.try_cast("bigint")
     if kind.startswith("pad10"):
         col = padded(col) if side == "list" else col.cast("string")
-    if kind.endswith("ci"):
+    if kind.endswith("_ci") or kind == "ci":
         col = folded(col)
+    if kind.endswith("collated"):
+        col = F.collate(col.cast("string"), COLLATION)
     return col

@@ -142,7 +142,7 @@ class _Run:
                 split = {"split_by": entry.restrict_read_by, "num_partitions": entry.read_parts} if self.conns.is_jdbc(server) else {}
                 listed = self.conns.read(server, entry.restrict_table, **split)
                 with noting(self._paths):
-                    self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise, materialise=True)
+                    self._lists[key] = prepare_list(listed, entry.restrict_key, entry.normalise)
             return self._lists[key]
 
     def remove_lists(self) -> None:

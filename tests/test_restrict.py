@@ -114,7 +114,7 @@ def test_hot_ids_are_spread(spark):
 
 
 def test_measured_size_covers_keys(spark):
-    listed = prepare_list(ids(spark, ["abc", "abc", None, "de"], "rid"), "rid", materialise=True)
+    listed = prepare_list(ids(spark, ["abc", "abc", None, "de"], "rid"), "rid")
     assert listed.n_bytes == 2 * restrict.ROW_OVERHEAD + 5
     assert sorted(r[0] for r in listed.keys.collect()) == ["abc", "de"]
 
