@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tablesync import (
-    TargetNotEmpty, catalog_columns, load_audit, load_table, newer_than, read_files, read_parquet_tree, read_target, stage,
+    TargetNotEmpty, anti_join_bucketed, bucketed, catalog_columns, load_audit, load_new_files, load_table, newer_than, read_files, read_parquet_tree, read_target, stage,
 )
 from tablesync.session import new_path, shared_dir
 
@@ -165,3 +165,54 @@ def catalog_column_list(spark, sf_dir):
     return columns.groupBy("ordinal", "name", "type", "mode", "description").agg(
         F.count_distinct("table_name").alias("tables")
     )
+
+
+_NESTED_SQL = (
+    f"SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderdate > {W_SQL} THEN o_orderpriority END AS o_orderpriority, "
+    f"CASE WHEN o_orderdate > {W_SQL} THEN cast(o_custkey AS varchar) END AS o_custkey FROM orders"
+)
+
+
+def _nested(spark, sf_dir, target, location):
+    """Rows up to the mark, then rows whose structs have more fields, in another order."""
+    first = loaded_orders(spark, sf_dir).selectExpr("o_orderkey", "struct(o_totalprice AS price, struct(o_orderstatus AS status) AS state) AS detail")
+    load_table(first, target, "empty", location=location)
+    more = _past_orders(spark, sf_dir).selectExpr(
+        "o_orderkey", "struct(struct(o_orderpriority AS priority, o_orderstatus AS status) AS state, o_totalprice AS price, o_custkey AS customer) AS detail")
+    load_table(more, target, "append", add_columns=True)
+    return read_target(spark, target).selectExpr(
+        "o_orderkey", "detail.price AS o_totalprice", "detail.state.status AS o_orderstatus", "detail.state.priority AS o_orderpriority",
+        "cast(detail.customer AS string) AS o_custkey")
+
+
+@query(_NESTED_SQL)
+def load_add_nested(spark, sf_dir):
+    return _nested(spark, sf_dir, new_path(spark, "target"), None)
+
+
+@query(_NESTED_SQL)
+def load_add_nested_table(spark, sf_dir):
+    return _nested(spark, sf_dir, _new_table(), _location(spark))
+
+
+@query(
+    "SELECT l.* FROM lineitem l LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus = 'F') r "
+    "ON l.l_orderkey = r.o_orderkey WHERE r.o_orderkey IS NULL"
+)
+def anti_join_in_buckets(spark, sf_dir):
+    """A source and a list kept in buckets of the id: nothing is shuffled when they meet."""
+    kept = [
+        bucketed(df, _new_table(), key, 16, new_path(spark, "bucketed"))
+        for df, key in ((table(spark, sf_dir, "lineitem"), "l_orderkey"), (orders(spark, sf_dir).where("o_orderstatus = 'F'"), "o_orderkey"))
+    ]
+    return anti_join_bucketed(*kept, "l_orderkey", "o_orderkey")
+
+
+@query(f"SELECT *, CASE WHEN o_orderdate > {W_SQL} THEN 2 ELSE 1 END AS load FROM orders")
+def incremental_files(spark, sf_dir):
+    """Two loads of a folder that gets files in between: the second reads the new files only."""
+    folder, target, log = (new_path(spark, name) for name in ("inbox", "target", "log"))
+    for load, rows in enumerate((loaded_orders(spark, sf_dir), _past_orders(spark, sf_dir)), 1):
+        rows.write.mode("append").parquet(folder)
+        load_new_files(spark, folder, target, log, rows.schema, change=lambda df, load=load: df.withColumn("load", F.lit(load)))
+    return spark.read.parquet(target)

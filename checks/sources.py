@@ -3,13 +3,14 @@ from __future__ import annotations
 import io
 import sys
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tablesync import (
-    Connections, anti_join, conform, expand_members, load_manifest, parse_run_logs, read_csv_strings,
+    Connections, anti_join, conform, even_predicates, expand_members, load_manifest, parse_run_logs, read_csv_strings,
     read_table, read_whole_text, run_script, run_sql, scrub_delims, sql_template, text_splits,
 )
 from tablesync.operators.watermark import Watermark
@@ -235,3 +236,35 @@ def split_read_hot_text(spark, sf_dir):
     counted = source.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_orderkey"), F.max("l_orderkey"))
     hot = [HotValue(v, 9 * n // rows + 1, lo, hi) for v, n, lo, hi in counted.where(F.col("n") * 9 > rows).collect()]
     return _reads(source, hot_splits("l_returnflag", "l_orderkey", text_splits("l_returnflag", low, high, 9), hot))
+
+
+@query(
+    "SELECT o_orderstatus, count(*) AS n, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS state FROM orders "
+    "WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY ALL"
+)
+def sql_script_compound(spark, sf_dir):
+    """A script whose block declares a variable, branches and ends in a report."""
+    view = _view(spark, sf_dir, "orders")
+    results = run_script(
+        spark,
+        f"""-- BEGIN; in a comment opens nothing
+        CREATE OR REPLACE TEMP VIEW v_all AS SELECT *, 'BEGIN; END' AS note FROM {view};
+        BEGIN
+            DECLARE least DOUBLE DEFAULT 0;
+            IF (SELECT count(*) FROM v_all) > 0 THEN
+                SET least = (SELECT avg(o_totalprice) FROM v_all);
+            END IF;
+            SELECT o_orderstatus, count(*) AS n, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS state
+            FROM v_all WHERE o_totalprice > least GROUP BY ALL;
+        END;
+        """,
+    )
+    return results[-1].result
+
+
+@query("SELECT * FROM lineitem")
+def split_read_even(spark, sf_dir):
+    """A skewed column cut at its quantiles: every row is in one of the parts."""
+    lines = table(spark, sf_dir, "lineitem")
+    parts = [lines.where(p) for p in even_predicates(lines, "l_extendedprice", 8)]
+    return reduce(lambda a, b: a.union(b), parts)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablesync import count_new, newer_than, read_watermark, resolve_watermark
+from tablesync import count_new, footer_marks, newer_than, read_watermark, resolve_watermark
 
 from .registry import EVENTS_UNTIL, LOADED_UNTIL, T_SQL, W_SQL, loaded_events, loaded_orders, orders, query, table
 
@@ -80,3 +80,9 @@ def count_new_rows(spark, sf_dir):
 def incremental_extract(spark, sf_dir):
     mark = read_watermark(loaded_orders(spark, sf_dir), "o_orderdate")
     return newer_than(orders(spark, sf_dir), "o_orderdate", mark)
+
+
+@query("SELECT cast(max(l_orderkey) AS varchar) AS watermark, count(*) AS rows FROM lineitem")
+def watermark_from_footers(spark, sf_dir):
+    """A mark by order number and the rows behind it, without reading a row."""
+    return footer_marks(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey")

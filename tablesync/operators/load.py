@@ -58,7 +58,7 @@ class PathTarget:
     def _loads(self) -> list[str]:
         """Folders that make up the current contents, oldest first. Files that lie in
         the target's folder itself count as its first load."""
-        markers = [m.rpartition("/")[::2] for m in matching(self.spark, f"{self.name}/{NUMBERED}-*/{{{COMMITTED}*,_SUCCESS}}")]
+        markers = [m.rpartition("/")[::2] for m in matching(self.spark, f"{self.name}/{NUMBERED}-*/{COMMITTED}*")]
         self._rows = {folder: int(name.rpartition("-")[2]) for folder, name in markers if "-" in name}
         done = sorted({folder for folder, _ in markers})
         starts = [i for i, d in enumerate(done) if d.endswith("-replace")]
@@ -133,9 +133,8 @@ class PathTarget:
         self._write(_same_columns(df, self.read().schema), "replace")
 
     def append(self, df: DataFrame, add_columns: bool) -> None:
-        schema = self.read().schema
-        new = _new_fields(df, schema, self.name, add_columns)
-        self._write(_same_columns(df, T.StructType([*schema, *new])), "append")
+        schema = _merged_schema(df, self.read().schema, self.name, add_columns)
+        self._write(_same_columns(df, schema), "append")
 
 
 class TableTarget:
@@ -152,8 +151,7 @@ class TableTarget:
 
     def replaced(self) -> list[str]:
         """Locations this library gave the table before, beside the current one."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'")
-        current = described.first()["data_type"]
+        current = self._described("Location")
         parent, _, name = current.rpartition("/")
         if not parent.endswith("/" + self.name.replace(".", "/")) or not UNIQUE.fullmatch(name):
             return []
@@ -196,21 +194,35 @@ class TableTarget:
         parts = self._partition_columns()
         _same_columns(df, schema).write.partitionBy(*parts).parquet(location)
         if parts:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            listed = ", ".join(f"`{p}`" for p in parts)
-            self.spark.sql(f"DROP TABLE {self.name}")
-            self.spark.sql(
-                f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({listed}) LOCATION '{location}'"
-            )
-            self.spark.catalog.recoverPartitions(self.name)
+            self._define(schema, location)
         else:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(self.name)
 
+    def _described(self, what: str) -> str:
+        return self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where(F.col("col_name") == what).first()["data_type"]
+
+    def _define(self, schema: T.StructType, location: str | None = None) -> None:
+        """Define the table anew over files that stay where they are, its own by default."""
+        if location is None:
+            if self._described("Type") != "EXTERNAL":
+                raise ValueError(f"{self.name} owns its files: fields inside its columns can't be added")
+            location = self._described("Location")
+        parts = self._partition_columns()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        listed = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        self.spark.sql(f"DROP TABLE {self.name}")
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet {listed} LOCATION '{location}'")
+        if parts:
+            self.spark.catalog.recoverPartitions(self.name)
+
     def append(self, df: DataFrame, add_columns: bool) -> None:
-        new = _new_fields(df, self.read().schema, self.name, add_columns)
-        if new:
-            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        schema = self.read().schema
+        merged = _merged_schema(df, schema, self.name, add_columns)
+        if merged[: len(schema)] != schema:
+            self._define(merged)
+        elif merged != schema:
+            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged[len(schema) :])
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({listed})")
         writer = _same_columns(df, self.read().schema).write.mode("append").format("parquet")
         writer.partitionBy(*self._partition_columns()).saveAsTable(self.name)
@@ -247,19 +259,52 @@ def _number(folder: str) -> int:
     return int(name[:8]) if re.match(r"\d{8}-", name) else 0
 
 
-def _new_fields(df: DataFrame, schema: T.StructType, target: str, allowed: bool) -> list[T.StructField]:
-    """Columns of df that the target lacks, which only an add_columns load may bring."""
-    known = {f.name.lower() for f in schema}
-    new = [f for f in df.schema if f.name.lower() not in known]
-    if new and not allowed:
-        raise ValueError(f"columns not in {target}: {[f.name for f in new]}")
-    return new
+def _merged_type(known: T.DataType, given: T.DataType, at: str, added: list[str]) -> T.DataType:
+    """known with the fields that given has beside it inside structs and lists; their names go to added."""
+    if isinstance(known, T.ArrayType) and isinstance(given, T.ArrayType):
+        return T.ArrayType(_merged_type(known.elementType, given.elementType, at, added), known.containsNull)
+    if not (isinstance(known, T.StructType) and isinstance(given, T.StructType)):
+        return known
+    have = {f.name.lower(): f for f in given}
+    fields = [
+        T.StructField(f.name, _merged_type(f.dataType, have[f.name.lower()].dataType, f"{at}{f.name}.", added) if f.name.lower() in have else f.dataType,
+                      f.nullable, f.metadata)
+        for f in known
+    ]
+    names = {f.name.lower() for f in known}
+    new = [T.StructField(f.name, f.dataType) for f in given if f.name.lower() not in names]
+    added += [f"{at}{f.name}" for f in new]
+    return T.StructType([*fields, *new])
+
+
+def _merged_schema(df: DataFrame, schema: T.StructType, target: str, allowed: bool) -> T.StructType:
+    """schema with the fields of df that the target lacks, at any depth, which only an add_columns load may bring."""
+    added: list[str] = []
+    merged = _merged_type(schema, df.schema, "", added)
+    if added and not allowed:
+        raise ValueError(f"columns not in {target}: {added}")
+    return merged
+
+
+def _shaped(col, given: T.DataType, wanted: T.DataType):
+    """A value with its structs' fields by name in the order of wanted; those it lacks are null."""
+    if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType) and given != wanted:
+        return F.transform(col, lambda x: _shaped(x, given.elementType, wanted.elementType))
+    if not (isinstance(given, T.StructType) and isinstance(wanted, T.StructType)) or given == wanted:
+        return col.cast(wanted)
+    have = {f.name.lower(): f for f in given}
+    fields = [
+        (_shaped(col.getField(have[f.name.lower()].name), have[f.name.lower()].dataType, f.dataType) if f.name.lower() in have
+         else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in wanted
+    ]
+    return F.when(col.isNotNull(), F.struct(*fields))
 
 
 def _same_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """df by name in the order and types of schema; columns df lacks are null."""
-    _new_fields(df, schema, "the target", False)
-    have = {c.lower(): c for c in df.columns}
+    _merged_schema(df, schema, "the target", False)
+    have = {f.name.lower(): f for f in df.schema}
     known = {f.name.lower(): f.dataType for f in schema}
     narrowed = [f.name for f in df.schema if not _keeps_values(f.dataType, known[f.name.lower()])]
     if narrowed:
@@ -267,7 +312,9 @@ def _same_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     def column(f: T.StructField):
         found = have.get(f.name.lower())
-        return (F.lit(None) if found is None else F.col(f"`{found}`")).cast(f.dataType).alias(f.name)
+        if found is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        return _shaped(F.col(f"`{found.name}`"), found.dataType, f.dataType).alias(f.name)
 
     return df.select(*[column(f) for f in schema])
 
@@ -283,7 +330,8 @@ def _keeps_values(given: T.DataType, wanted: T.DataType) -> bool:
     if isinstance(given, T.NullType) or given.simpleString() == wanted.simpleString():
         return True
     if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
-        return len(given) == len(wanted) and all(_keeps_values(g.dataType, w.dataType) for g, w in zip(given, wanted, strict=True))
+        known = {f.name.lower(): f.dataType for f in wanted}
+        return all(f.name.lower() in known and _keeps_values(f.dataType, known[f.name.lower()]) for f in given)
     if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
         return _keeps_values(given.elementType, wanted.elementType)
     if isinstance(wanted, T.DecimalType):
@@ -311,7 +359,8 @@ def load_table(
 ) -> LoadResult:
     """Load df in one write.
 
-    append     add the rows; add_columns lets df bring new nullable columns
+    append     add the rows; add_columns lets df bring new nullable columns, and fields
+               inside structs and lists of structs
     truncate   replace the rows, keep the columns
     empty      load only if the target is absent or has no rows
     recreate   replace rows and columns
@@ -365,6 +414,17 @@ def load_table(
     return LoadResult(target, before, rows, total, report_max)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int, location: str) -> DataFrame:
+    """df as a table in buckets of a key, sorted within: tables of as many buckets meet on it without a shuffle.
+
+    Worth it for a source and a list that meet again and again. A bucket is one task of a join, so
+    buckets are sized for the largest table, and a key that holds much of the rows is better
+    left to a join that shuffles.
+    """
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", location).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def stage(df: DataFrame, path: str, split_by: str | None = None) -> None:
     """Write an extract as parquet, replacing what was staged before.
 

@@ -308,6 +308,15 @@ def anti_join(
     return kept.select("*", *nulls)
 
 
+def anti_join_bucketed(source: DataFrame, listed: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Rows of source whose id is not listed, where both are tables in as many buckets of these columns.
+
+    The list may repeat ids and hold nulls. Neither side is shuffled; both keys are of one type.
+    """
+    keys = listed.select(F.col(f"`{right_key}`").alias(KEY))
+    return source.join(keys.hint("merge"), F.col(f"`{left_key}`") == F.col(KEY), "left_anti")
+
+
 def only_restricted(
     df: DataFrame,
     restricted: DataFrame | RestrictionList,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,3 +94,20 @@ def newer_than(df: DataFrame, col: str | None, mark: Watermark | str | None) ->
 def count_new(df: DataFrame, col: str | None, mark: Watermark | str | None) -> DataFrame:
     """One row: how many rows lie past the mark. Reads the date column only."""
     return newer_than(df, col, mark).agg(F.count("*").alias("rows_to_load"))
+
+
+def footer_marks(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """One row: the largest value of a column of parquet files as text `watermark`, and their `rows`.
+
+    Spark answers both from the files' footers, without reading a page, for columns of numbers
+    and dates that are no partition folders; of times and texts, whose footers it does not trust,
+    it reads the one column. The settings for that hold in a session of their own. Without rows the
+    mark is the epoch.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    found = own.read.parquet(path).agg(F.max(F.col(col)).alias("largest"), F.count("*").alias("rows"))
+    rows = F.greatest("rows", F.lit(0)).alias("rows")  # without files the footers give no count at all
+    return found.select(F.coalesce(F.col("largest").cast("string"), F.lit(EPOCH)).alias("watermark"), rows)

@@ -14,7 +14,10 @@ from ..operators.watermark import Watermark
 PLACEHOLDERS = {"1": "table", "2": "column", "3": "mark"}
 
 # A semicolon, or a stretch of text inside which a semicolon does not end a statement.
-PIECE = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/|;""", re.S)
+QUOTED = r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+PIECE = re.compile(QUOTED + r"|;|\bBEGIN\b|\bCASE\b|\bEND(?:\s+(?:IF|WHILE|LOOP|REPEAT|FOR|CASE)\b)?|\w+", re.S | re.I)
+COMMENT = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
+BLOCK = re.compile(r"\s*BEGIN", re.I)
 
 
 def run_sql(spark: SparkSession, text: str, args: Mapping | None = None) -> DataFrame:
@@ -45,11 +48,25 @@ def bind_query(text: str, table: str, column: str | None = None, mark: str | Non
 
 
 def statements(text: str) -> list[str]:
-    """The statements of a script: split at semicolons outside quotes and comments."""
-    ends = [m.start() for m in PIECE.finditer(text) if m[0] == ";"]
-    parts = [text[a:b] for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(text)])]
-    comment = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
-    return [p.strip() for p in parts if comment.sub("", p).strip()]
+    """The statements of a script: split at semicolons outside quotes, comments and blocks.
+
+    A statement that begins with BEGIN goes on to the END that closes it, with all it declares,
+    loops over and branches to; Spark runs it whole.
+    """
+    parts, begin, depth = [], 0, None  # depth is None outside a block
+    for m in PIECE.finditer(text):
+        word = m[0].upper()
+        if word == ";" and not depth:
+            parts.append(text[begin : m.start()])
+            begin, depth = m.end(), None
+        elif word == "BEGIN" and depth is None:
+            depth = 1 if BLOCK.fullmatch(COMMENT.sub(" ", text[begin : m.end()])) else None
+        elif depth and word in ("BEGIN", "CASE"):
+            depth += 1
+        elif depth and word.split() in (["END"], ["END", "CASE"]):  # END IF and its like close what opened no block
+            depth -= 1
+    parts.append(text[begin:])
+    return [p.strip() for p in parts if COMMENT.sub("", p).strip()]
 
 
 @dataclass(frozen=True)
