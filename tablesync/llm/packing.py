@@ -76,7 +76,10 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
            order: list[Column] = (), paths: tuple[str, str | None] | None = None) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) and the order columns, a row per piece of each document."""
+    """(doc_id, piece, start, length, ids_crc32) and the order columns, a row per piece of each document.
+
+    A null text counts as empty, bytes that are no UTF-8 as U+FFFD. An empty table gives no rows.
+    """
     json_path, ranks_path = paths or vocabulary_paths()
     orders = [c.alias(f"order{i}") for i, c in enumerate(order)]
     narrow = docs.select(column(id_col).alias(id_col), column(text_col).cast("string").alias(text_col), *orders)
@@ -86,8 +89,9 @@ def pieces(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
         encode = Encoder(json_path, ranks_path)
         for batch in batches:
             rows, piece, start, size, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(encode(text or ""), np.uint32(END_ID)).astype("<u4", copy=False)
+            for i, value in enumerate(batch.column(1).cast("binary")):
+                text = (value.as_py() or b"").decode(errors="replace")
+                ids = np.append(encode(text), np.uint32(END_ID)).astype("<u4", copy=False)
                 for k, (at, n) in enumerate(cut(len(ids), length)):
                     rows.append(i)
                     piece.append(k)

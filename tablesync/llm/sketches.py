@@ -197,8 +197,8 @@ def pa_type(spark, simple: str) -> pa.DataType:
 
 
 def _compared(pairs: list[tuple], k: int, shingle: int, id_arrow, names: list[str]) -> pa.RecordBatch:
-    texts = [a[3].decode() for a, _ in pairs]
-    changed = [edited(t, b[3].decode()).encode() for t, (_, b) in zip(texts, pairs, strict=True)]
+    texts = [a[3].decode(errors="replace") for a, _ in pairs]
+    changed = [edited(t, b[3].decode(errors="replace")).encode() for t, (_, b) in zip(texts, pairs, strict=True)]
     others = sketches(changed, k, shingle)
     return pa.RecordBatch.from_arrays(
         [

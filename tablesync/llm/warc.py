@@ -28,6 +28,8 @@ from .common import column
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # that of URLs, RFC 4122
 END = b"\r\n\r\n"
+# Codecs of names and of program text.
+NO_TEXTS = {"idna", "punycode", "undefined", "unicode-escape", "raw-unicode-escape", "unicode_escape", "raw_unicode_escape"}
 HIDDEN = {"script", "style", "template", "noscript"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "em", "font", "i", "kbd", "mark", "q", "s", "samp", "small", "span",
           "strong", "sub", "sup", "time", "tt", "u", "var", *HIDDEN}
@@ -58,6 +60,12 @@ class _Page(HTMLParser):
         self.handle_starttag(tag, attrs)
         self.hidden, self.in_title = hidden, False
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no known section: a comment up to the next bracket
+            return self.rawdata.find(">", i) + 1 or -1
+
     def handle_endtag(self, tag):
         if tag == self.hidden:
             self.hidden = ""
@@ -80,7 +88,8 @@ def _tidy(text: str) -> str:
 def read_html(html: str) -> tuple[str, str, list[tuple[str, str]]]:
     """Plain text, title and (tag, target) links."""
     page = _Page()
-    page.feed(html)
+    # No character has so large a number, and very long ones can't be read.
+    page.feed(re.sub(r"&#(\d{8,})", lambda m: f"&#{min(m[1].lstrip('0') or '0', '9' * 7, key=len)}", html))
     page.close()
     return _tidy("".join(page.text)), " ".join("".join(page.title).split()), page.links
 
@@ -123,7 +132,7 @@ def parse_record(record: bytes) -> tuple[str, list[tuple[str, str]], bytes] | No
         return None
     headers = _headers(lines[1:])
     length = _first(headers, "Content-Length")
-    return lines[0].decode("ascii", "replace"), headers, rest[: int(length)] if length and length.isdecimal() else rest.removesuffix(END)
+    return lines[0].decode("ascii", "replace"), headers, rest[: int(length)] if re.fullmatch(r"\d{1,15}", length or "", re.A) else rest.removesuffix(END)
 
 
 def parse_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
@@ -157,6 +166,15 @@ def _charset(payload: bytes, content_type: str) -> str:
         return "utf-8"
 
 
+def _text(payload: bytes, content_type: str) -> str:
+    """The payload as its charset reads it, or as UTF-8 where that is no encoding of texts."""
+    charset = _charset(payload, content_type)
+    try:
+        return payload.decode("utf-8" if charset in NO_TEXTS else charset, "replace")
+    except (LookupError, ValueError):
+        return payload.decode("utf-8", "replace")
+
+
 def _identifier(kind: str, source: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{kind} {source}')}>"
 
@@ -176,9 +194,9 @@ def derivatives(record: bytes | None) -> list[tuple]:
     body = _decoded(payload, http)
     text, title, links = None, "", []
     if re.match(r"text/html|application/xhtml", content_type, re.I):
-        text, title, links = read_html(body.decode(_charset(body, content_type), "replace"))
+        text, title, links = read_html(_text(body, content_type))
     elif re.match(r"text/", content_type, re.I):
-        text = _tidy(body.decode(_charset(body, content_type), "replace"))
+        text = _tidy(_text(body, content_type))
     meta = {
         "warc": source, "http": {"status": status, "headers": http},
         "payload": {"digest": labelled or digest(payload), "length": len(payload), "valid": matches(payload, labelled) if labelled else True},

@@ -222,3 +222,10 @@ def test_mixing_edges(spark):
     for wrong in ({"a": 0}, {"a": 1.5}, {"a": 20_001}):
         with pytest.raises(ValueError):
             mixing.mix(docs, wrong)
+
+
+def test_bytes_that_are_no_text(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62' AS string) AS text UNION ALL SELECT 2L, 'a b c'")
+    rows = {r["doc_id"]: r for r in sketches.compare_with_next(docs).collect()}
+    assert rows[1]["n_chars"] == 3 and rows[2]["edited_sha256"] == hashlib.sha256("a b a".encode()).hexdigest()
+    assert {r["doc_id"]: r["length"] for r in packing.pack(docs).collect()}[1] >= 3

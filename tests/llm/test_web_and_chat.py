@@ -93,6 +93,27 @@ def response(payload=b"<p>hi", http=b"HTTP/1.1 200 OK\r\nContent-Type: text/html
     return b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\n" + more + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
 
 
+HOSTILE = [
+    *[f"<html><head><meta charset={c}></head><p>caf\u00e9 text {c}</p>" for c in ("hex", "base64", "zlib", "rot13", "idna", "undefined", "punycode", "unicode_escape", "no-such")],
+    "<p>before</p><![foo[x]]><p>after</p>", "<p>before <![foo", "<p>a&#" + "1" * 5000 + ";b&#" + "0" * 5000 + "65;c&#00000000066;</p>", "<![CDATA[x]]><p>y</p>",
+]
+
+
+def test_hostile_pages_end_no_task(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in enumerate(HOSTILE)], "page_id int, url string, html string")
+    record = warc.response_record(F.col("page_id"), F.col("url"), F.col("html"), "2024-01-01T00:00:00Z")
+    rows = warc.build_derivatives(pages.withColumn("record", record), keep=["page_id"]).collect()
+    text = {r["page_id"]: r["content"] for r in rows if r["warc_type"] == "conversion"}
+    for c in ("hex", "base64", "zlib", "rot13", "idna", "undefined", "punycode", "no-such"):
+        assert warc._text("caf\u00e9".encode(), f"text/html; charset={c}") == "caf\u00e9"
+    assert len(rows) == 2 * len(HOSTILE) == 2 * len(text)
+    assert all("text" in text[i] for i in range(9)) and "caf\u00e9" in text[0]
+    assert text[9].split() == ["before", "after"] and text[10].startswith("before")
+    assert text[11] == "a\ufffdbAcB" and text[12] == "y"
+    long = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: " + b"9" * 5000 + b"\r\n\r\nHTTP/1.1 200 OK\r\n\r\n<p>z</p>"
+    assert [d[0] for d in warc.derivatives(long)] == ["metadata", "conversion"]
+
+
 def test_warc_edges(spark):
     import gzip
 
