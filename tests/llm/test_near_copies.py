@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -235,3 +236,36 @@ def test_align_splits_only_where_the_rule_fails():
         at = np.array([5, 50, 90, 105 + gap, 150 + gap])
         found = passages.align(doc, np.concatenate(parts), at, np.where(at > 100, at - gap, at))
         assert [(s, e) for s, e, *_ in found] == spans
+
+
+def test_bound_before_alignment_loses_no_passage(monkeypatch):
+    rng = np.random.default_rng(11)
+    most, none, some = passages._most, 0, 0
+    for i in range(400):
+        home = rng.integers(40, size=160, dtype=np.uint32) if i % 2 else rng.integers(1 << 32, size=160, dtype=np.uint32)
+        doc = np.where(rng.random(160) < rng.choice([0.1, 0.2, 0.25, 0.5]), rng.integers(1 << 32, size=160, dtype=np.uint32), home)
+        doc = np.concatenate([rng.integers(1 << 32, size=rng.integers(30), dtype=np.uint32), np.delete(doc, rng.integers(160, size=rng.integers(8)))])
+        doc, home = doc[: rng.integers(50, 140)], home[rng.integers(20) :]
+        pairs = [(a, b) for a in range(len(doc) - 2) for b in range(len(home) - 2) if (doc[a : a + 3] == home[b : b + 3]).all()]
+        if not pairs:
+            continue
+        at, home_at = np.array(sorted(pairs)).T
+        for links in passages.chain(at, home_at):
+            links = np.sort(rng.choice(links, min(len(links), rng.integers(2, 9)), replace=False))
+            monkeypatch.setattr(passages, "_most", lambda *a: 1 << 30)
+            whole = passages.align(doc, home, at[links], home_at[links])
+            monkeypatch.setattr(passages, "_most", most)
+            assert passages.align(doc, home, at[links], home_at[links]) == whole
+            bound = most(doc, home, at[links], home_at[links], passages.K)
+            assert all(bound >= agree for *_, agree in whole)
+            some, none = some + bool(whole), none + (bound < 40)
+    assert some > 100 and none > 100
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_rows_without_a_partner_are_left_out(size):
+    docs, homes = [1, 1, 1, 2, 2, 3, 4, 4, 4, 4, 5], [0, 0, 1, 1, 1, 1, 2, 3, 3, 3, 3]
+    table = pa.table({"doc": docs, "home": homes, "at": list(range(11))})
+    left = [x for b in passages._recurring(table.to_batches(max_chunksize=size), ["doc", "home"]) for x in b.column("at").to_pylist()]
+    assert left == [0, 1, 3, 4, 7, 8, 9]
+    assert list(passages._recurring([], ["doc"])) == []
