@@ -2,15 +2,18 @@
 
 A line's quote level is the number of > signs it begins with. Lines of one level in a row are
 a passage, at level 0 the message's own. Passages are normalised (lower case, white space
-collapsed) and hashed, whole and line by line. A quoted hash is joined to the earliest message
-of its conversation whose own text has it; a whole passage that its conversation doesn't
-have, to the earliest such message of a conversation with a smaller id. At each level the
-message that explains the most quoted characters is the one quoted, and the one quoted at the
-lowest level is the parent. Parents come earlier, by conversation and turn, so threads are trees.
-
-Originals are reduced to one per hash before the join, and hashes that many messages quote
-stay rows of their own. Threads are ranked by a range partition over all rows, so neither a
-conversation nor a thread has to fit a task.
+collapsed) and hashed, whole, by paragraph and line by line. A quoted hash is joined to the
+latest earlier message of its conversation whose own text has it; one of LEAST_CHARS that its
+conversation doesn't have, to the first message, by conversation and turn, that has it, if
+that is in a conversation with a smaller id. At each level the message that explains the most
+quoted characters is the one quoted, at ties one of the own conversation, then of the smallest,
+then the latest; the one quoted at the lowest level is the parent. Parents come earlier, by
+conversation and turn, so threads are trees.
+
+Originals and quotes of a conversation are one row per hash and turn before they meet, over a
+range partition that may split a hash; one original per hash serves other conversations.
+Threads are ranked by a range partition over all rows, so neither a conversation nor a thread
+has to fit a task.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +74,12 @@ def key_of(text: str) -> int:
 
 
 def units(lines: list[str]) -> list[tuple[int, int, bool]]:
-    """(hash, characters, whole passage?) of a passage and of its lines; each hash once."""
+    """(hash, characters, whole passage?) of a passage, of its paragraphs and of its lines; each hash once."""
     whole = normalised("\n".join(lines))
     found = {key_of(whole): (len(whole), True)} if whole else {}
-    for line in lines:
-        if part := normalised(line):
+    paragraphs = [" ".join(x) for blank, x in groupby(lines, key=lambda line: not line.strip()) if not blank]
+    for text in (*paragraphs, *lines):
+        if part := normalised(text):
             found.setdefault(key_of(part), (len(part), False))
     return [(h, n, all_) for h, (n, all_) in found.items()]
 
@@ -107,25 +112,38 @@ def parsed(messages: DataFrame, text_col: str, names: dict[str, str]) -> DataFra
     return messages.mapInArrow(run, schema)
 
 
+def _latest(own: DataFrame, quoted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv, hash, turn, said): the latest turn before a quoting one whose own text has the hash."""
+    key = ["conv", "hash"]
+    asked = quoted.select(*key, "turn").distinct()
+    told = own.join(asked.select(*key).distinct(), key, "left_semi").select(*key, "turn").distinct()
+    # A turn does not quote itself: its quotes come before its own text.
+    both = asked.withColumn("said", F.lit(None).cast("long")).union(told.select(*key, "turn", F.col("turn").alias("said")))
+    both = both.repartitionByRange(*key, "turn", F.col("said").isNotNull()).withColumn("pid", F.spark_partition_id())
+    both, _ = scratch.save(both, "turns")
+    earlier = Window.partitionBy(*key).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = both.groupBy(*key, "pid").agg(F.max("said").alias("ahead")).withColumn("ahead", F.max("ahead").over(earlier))
+    here = Window.partitionBy("pid", *key).orderBy("turn", F.col("said").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("last", F.max("said").over(here)).where("said is null").join(ahead, [*key, "pid"])
+    return found.select(*key, "turn", F.coalesce("last", "ahead").alias("said")).where("said is not null")
+
+
 def _links(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv, turn, mark, level, to): the message that each level of a message quotes."""
-    own = rows.where("conv is not null and turn is not null").select("conv", "turn", F.explode("own_units").alias("u"))
-    own = own.select("conv", "turn", "u.hash", "u.whole")
-    inside = own.groupBy("conv", "hash").agg(F.min("turn").alias("first"))
-    anywhere = own.where("whole").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
-    inside, _ = scratch.save(inside, "inside")
+    rows = rows.where("conv is not null and turn is not null")
+    own = rows.select("conv", "turn", F.explode("own_units").alias("u")).select("conv", "turn", "u.hash", "u.chars")
+    quoted = rows.select("conv", "turn", "mark", F.explode("quoted").alias("q"))
+    quoted = quoted.select("conv", "turn", "mark", "q.level", "q.hash", "q.chars")
+    anywhere = own.where(f"chars >= {LEAST_CHARS}").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
     anywhere, _ = scratch.save(anywhere, "anywhere")
+    inside, _ = scratch.save(_latest(own, quoted, scratch), "inside")
 
-    quoted = rows.where("conv is not null and turn is not null").select("conv", "turn", "mark", F.explode("quoted").alias("q"))
-    quoted = quoted.select("conv", "turn", "mark", "q.level", "q.hash", "q.chars", "q.whole")
-    quoted = quoted.join(inside, ["conv", "hash"], "left")
-    here = F.when(F.col("first") < F.col("turn"), F.struct("conv", F.col("first").alias("turn")))
-    quoted = quoted.withColumn("to", here).drop("first")
-    known = quoted.where("to is not null")
-    rest = quoted.where(f"to is null and whole and chars >= {LEAST_CHARS}").drop("to").join(anywhere, "hash")
+    quoted = quoted.join(inside, ["conv", "hash", "turn"], "left")
+    known = quoted.where("said is not null").withColumn("to", F.struct("conv", F.col("said").alias("turn")))
+    rest = quoted.where(f"said is null and chars >= {LEAST_CHARS}").join(anywhere, "hash")
     rest = rest.where("origin.conv < conv").withColumnRenamed("origin", "to")
-    votes = known.unionByName(rest).groupBy("conv", "turn", "mark", "level", "to").agg(F.sum("chars").alias("chars"))
-    best = F.max_by("to", F.struct("chars", -F.col("to.conv"), -F.col("to.turn")))
+    votes = known.unionByName(rest, allowMissingColumns=True).groupBy("conv", "turn", "mark", "level", "to").agg(F.sum("chars").alias("chars"))
+    best = F.max_by("to", F.struct("chars", F.col("to.conv") == F.col("conv"), F.bitwise_not("to.conv"), "to.turn"))
     return votes.groupBy("conv", "turn", "mark", "level").agg(best.alias("to"))
 
 

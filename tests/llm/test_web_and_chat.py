@@ -2,6 +2,7 @@
 
 import json
 import math
+import re
 import sys
 from pathlib import Path
 
@@ -146,7 +147,7 @@ def test_quotes_of_the_given_conversations(spark, sf_dir):
         levels = sum((key[0], key[1] - i) in said for i in (1, 2) if (key[0], key[1] - 1) in said)
         assert r["text"] == said[key].strip("\n") and r["quote_levels"] == levels == r["linked_levels"]
         parents = [k for k in said if k[0] == key[0] and k[1] < key[1] and quotes.normalised(said[k]) == quotes.normalised(said.get((key[0], key[1] - 1), ""))]
-        assert (r["parent_conv"], r["parent_turn"]) == (min(parents) if parents else (None, None))
+        assert (r["parent_conv"], r["parent_turn"]) == (max(parents) if parents else (None, None))
     assert_threads(rows)
 
 
@@ -189,6 +190,53 @@ def test_nested_partial_and_foreign_quotes(spark):
     assert quotes.conversations(docs.limit(0)).collect() == []
 
 
+def test_lines_of_other_conversations_and_the_nearest_turn(spark):
+    line = "a line that stands in the middle of it"
+    messages = [(1, 0, f"first\n{line}\nlast"), (2, 0, f"> {line}\nas said there"), (3, 0, "again"), (3, 1, "other"), (3, 2, "again"), (3, 3, "> again\nyes"),
+                (4, 0, "a paragraph of two lines,\nand this is its second.\n\nAnother one."), (5, 0, "> a paragraph of two lines, and\n> this is its second.\nright"),
+                (-(2**63), -(2**63), "least"), (-(2**63), -(2**63) + 1, "> least\nmore")]
+    rows = quotes.conversations(spark.createDataFrame(messages, "conv_id long, turn long, text string")).collect()
+    parents = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in rows if r["parent_conv"] is not None}
+    assert parents == {(2, 0): (1, 0), (3, 3): (3, 2), (5, 0): (4, 0), (-(2**63), -(2**63) + 1): (-(2**63), -(2**63))}
+
+
+def parts_of(lines):
+    paragraphs = re.split(r"\n(?:[ \t]*\n)+", "\n".join(lines))
+    return {" ".join(t.lower().split()) for t in ("\n".join(lines), *paragraphs, *lines)} - {""}
+
+
+def test_invented_threads_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    lines = [f"line {i} " + "with many more words " * (i % 3) for i in range(12)]
+    some = lambda n: [lines[k] if k < 12 else "" for k in rng.integers(14, size=n)]
+    messages = []
+    for conv in range(30):
+        for turn in rng.permutation(12)[: rng.integers(1, 12)].tolist():
+            quoted = ["> " * level + x for level in (2, 1) if rng.random() < 0.6 for x in some(rng.integers(1, 4))]
+            messages.append((conv, turn, "\n".join([*quoted, *some(rng.integers(1, 5))])))
+    parsed = {(c, t): quotes.parse(text) for c, t, text in messages}
+    own = {k: parts_of(p[0].split("\n")) for k, p in parsed.items()}
+    rows = quotes.conversations(spark.createDataFrame(messages, "conv_id long, turn long, text string").repartition(5)).collect()
+    linked = 0
+    for r in rows:
+        me, by_level = (r["conv_id"], r["turn"]), {}
+        for level, passage in parsed[me][1]:
+            votes = by_level.setdefault(level, {})
+            for part in parts_of(passage):
+                to = max((k for k in own if k[0] == me[0] and k[1] < me[1] and part in own[k]), default=None)
+                if to is None and len(part) >= quotes.LEAST_CHARS:
+                    to = min((k for k in own if part in own[k]), default=None)
+                    to = to if to and to[0] < me[0] else None
+                if to:
+                    votes[to] = votes.get(to, 0) + len(part)
+        best = {level: max(v, key=lambda k: (v[k], k[0] == me[0], -k[0], k[1])) for level, v in by_level.items() if v}
+        assert (r["parent_conv"], r["parent_turn"]) == (best[min(best)] if best else (None, None))
+        assert r["linked_levels"] == len(best)
+        linked += len(best)
+    assert linked > 100
+    assert_threads(rows)
+
+
 def test_a_long_thread(spark):
     said = [(1, i, f"number {i} speaks") for i in range(70)]
     rows = quotes.conversations(quotes.with_quotes(spark.createDataFrame(said, "conv_id long, turn long, text string"))).collect()
