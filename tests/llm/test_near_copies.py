@@ -202,6 +202,25 @@ def test_texts_that_share_an_id_lose_nothing_of_their_own(spark):
     assert sorted(map(str, (r["text"] for r in cut))) == sorted(map(str, [shared, " tail", "z " + other, None, shared]))
 
 
+def test_every_text_of_a_shared_id_is_searched(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(70)) for x in "abc")
+    rows = [(1, a), (2, b), (3, "x " + a), (3, "y " + b), (3, "y " + b), (3, c), (4, c), (4, a), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.shared_passages(docs)
+    assert sorted((r["doc_id"], r["home_id"], r["start"], r["end"]) for r in found.collect()) == [
+        (3, 1, 1, 71), (3, 2, 1, 71), (4, 1, 0, 70), (4, 3, 0, 70)]
+    cut = sorted((r["doc_id"], str(r["text"])) for r in passages.cut_passages(docs, found).collect())
+    assert cut == sorted([(1, a), (2, b), (3, "x"), (3, "y"), (3, "y"), (3, c), (4, ""), (4, ""), (4, "None")])
+
+
+def test_equal_texts_are_one_passage(spark):
+    long, short = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("l", 90), ("s", 49)))
+    rows = [(i, long if i % 2 else short) for i in range(10, 40)]
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["home_id"], r["start"], r["end"], r["agree"]) for r in found) == [
+        (i, 11, 0, 90, 90) for i in range(13, 40, 2)]
+
+
 def test_fuzzy_passages_are_found(spark):
     rng = np.random.default_rng(9)
     docs, kinds = [], {}
