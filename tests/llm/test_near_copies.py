@@ -257,6 +257,19 @@ def test_align_splits_only_where_the_rule_fails():
         assert [(s, e) for s, e, *_ in found] == spans
 
 
+def test_ascending_matches_chain_as_others_do(monkeypatch):
+    rng, n = np.random.default_rng(11), 0
+    for _ in range(300):
+        at, home_at = (np.cumsum(rng.choice([1, 2, 5, 30, 60, 90], size=rng.integers(8, 60))) for _ in range(2))
+        at, home_at = (x[: min(len(at), len(home_at))] for x in (at, home_at))
+        monkeypatch.setattr(passages, "FEW", 0)
+        quick = sorted(x.tolist() for x in passages.chain(at, home_at))
+        monkeypatch.setattr(passages, "FEW", 1 << 30)
+        assert sorted(x.tolist() for x in passages.chain(at, home_at)) == quick
+        n += len(quick) > 1
+    assert n > 100
+
+
 def test_bound_before_alignment_loses_no_passage(monkeypatch):
     rng = np.random.default_rng(11)
     most, none, some = passages._most, 0, 0
