@@ -247,6 +247,35 @@ def test_passages_go_on_over_inserted_words(spark, inserted):
     assert sorted((r["doc_id"], r["start"], r["end"], r["agree"]) for r in rows) == [(i, 0, 80 + inserted, 80) for i in range(1, 20, 2)]
 
 
+def test_passages_whose_seeds_smaller_ids_hold(spark):
+    rng = np.random.default_rng(20)
+    around = lambda *w: " ".join([*text_of(rng, 30, 50_000), *w, *text_of(rng, 9, 50_000)])
+    shared = text_of(rng, 60, 50_000)
+    changed_ = [f"new{i}" if i % 12 == 7 else w for i, w in enumerate(shared)]
+    docs = [(i, around(*shared[6 * i : 6 * i + 8])) for i in range(10)] + [(100, around(*shared)), (200, around(*changed_))]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["home_id"], r["start"], r["end"], r["agree"]) for r in rows] == [(200, 100, 30, 90, 55)]
+
+
+def test_passages_of_lines_that_very_many_documents_have(spark):
+    rng = np.random.default_rng(21)
+    around = lambda *w: " ".join([*text_of(rng, 30, 50_000), *w, *text_of(rng, 9, 50_000)])
+    lines = [text_of(rng, 12, 50_000) for _ in range(8)]
+    many = passages.RARE + 6
+    docs = [(many * j + i, around(*line)) for j, line in enumerate(lines) for i in range(many)]
+    docs += [(i, around(*(w for j, line in enumerate(lines) for w in [*line, f"new{i}-{j}"]))) for i in (1000, 2000)]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["home_id"], r["start"], r["end"], r["agree"]) for r in rows] == [(2000, 1000, 30, 133, 96)]
+
+
+def test_places_are_open_beyond_what_is_covered(spark):
+    found = [(1, at, 100 + at, at in (10, 30)) for at in (10, 20, 30, 200)] + [(2, at, 100 + at, True) for at in (10, 20, 30)]
+    rows = passages._place_rows(spark.createDataFrame(found, "doc long, at int, h long, common boolean"),
+                                spark.createDataFrame([(1, 5, 31), (1, 0, 29), (2, 0, 90)], "doc long, start int, end int")).collect()
+    assert sorted((r["doc"], r["at"], r["gap"], r["nth"], r["open"]) for r in rows) == [
+        (1, 10, 10, 0, False), (1, 10, 20, 0, True), (1, 20, 0, 0, True), (1, 20, 10, 0, True), (1, 200, 0, 0, True), (2, 10, 20, 0, False)]
+
+
 def test_align_splits_only_where_the_rule_fails():
     rng = np.random.default_rng(10)
     parts = [rng.integers(1 << 32, size=n, dtype=np.uint32) for n in (100, 120)]
