@@ -330,3 +330,45 @@ def test_rows_without_a_partner_are_left_out(size):
     left = [x for b in passages._recurring(table.to_batches(max_chunksize=size), ["doc", "home"]) for x in b.column("at").to_pylist()]
     assert left == [0, 1, 3, 4, 7, 8, 9]
     assert list(passages._recurring([], ["doc"])) == []
+
+
+def test_groups_chain_at_once_as_one_by_one():
+    rng, rows = np.random.default_rng(12), []
+    for doc in range(400):
+        size = rng.integers(2, 14)
+        at = np.cumsum(rng.choice([0, 1, 3, 20, 60, 70, 90, 400], size=size))
+        home_at = np.cumsum(rng.choice([1, 3, 20, 60, 70, 90], size=size))
+        rows += [(doc, doc % 3, int(a), int(b)) for a, b in zip(at, home_at if doc % 4 else rng.permutation(home_at), strict=True)]
+    rows = np.array(sorted(set(rows)))
+    found = [tuple(r.values()) for b in passages._chained(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3]) for r in b.to_pylist()]
+    alone = []
+    for doc in range(400):
+        _, home, at, home_at = rows[rows[:, 0] == doc].T
+        for links in passages.chain(at, home_at):
+            for s in passages._split(at[links], home_at[links]):
+                a, b = at[links][s], home_at[links][s]
+                alone.append((doc, home[0], a[0], b[0], a[-1], b[-1], np.stack([a, b]).astype("<i4").tobytes()))
+    assert sorted(found) == sorted(alone) and len(alone) > 400
+
+
+def test_only_chains_that_may_be_passages_are_sent_to_alignment(spark):
+    rng = np.random.default_rng(13)
+    docs, found = {}, []
+    for i in range(0, 240, 2):
+        home = text_of(rng, int(rng.integers(150, 2600)), 50_000)
+        first, n = int(rng.integers(len(home) - 100)), int(rng.choice([6, 12, 45, 60, 90]))
+        doc = [*text_of(rng, int(rng.integers(1100)), 50_000), *changed(rng, home[first : first + n], 0.1, "random"), *text_of(rng, 70, 50_000)]
+        docs[i], docs[i + 1] = home, doc
+        seen = {tuple(home[b : b + 3]): b for b in range(len(home) - 2)}
+        met = [(a, seen[tuple(doc[a : a + 3])]) for a in range(len(doc) - 2) if tuple(doc[a : a + 3]) in seen]
+        met = met[:: int(rng.integers(1, 9))]
+        if len(met) > 1:
+            at, home_at = np.array(met).T
+            found.append((i + 1, i, *(int(x) for x in (at[0], home_at[0], at[-1], home_at[-1])), np.stack([at, home_at]).astype("<i4").tobytes()))
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc long, text string")
+    chains = spark.createDataFrame(found, passages.CHAIN)
+    sent = passages.promising(texts, chains, 40)
+    whole, left = (sorted(map(tuple, passages._aligned(texts, x, 50, 0.8).collect())) for x in (chains, sent))
+    short = sum(len(r[6]) <= 8 * passages.FEW and r[4] - r[2] < 20 for r in found)
+    assert left == whole and len(whole) > 20
+    assert short > 10 and sent.count() <= len(found) - short
