@@ -372,3 +372,20 @@ def test_only_chains_that_may_be_passages_are_sent_to_alignment(spark):
     short = sum(len(r[6]) <= 8 * passages.FEW and r[4] - r[2] < 20 for r in found)
     assert left == whole and len(whole) > 20
     assert short > 10 and sent.count() <= len(found) - short
+
+
+def test_saved_tables_leave_no_shuffle_files(spark, tmp_path):
+    import time
+
+    from tablesync.llm.common import Scratch
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    made = lambda: {b.name() for b in (lambda x: [x.apply(i) for i in range(x.size())])(disk.getAllBlocks().toSeq()) if b.isShuffle()}
+    before, scratch = made(), Scratch(spark, "test")
+    saved, path = scratch.save(spark.range(1000).repartition("id"), "rows")
+    until = time.time() + 20
+    while (left := made() - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and saved.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    scratch.drop(path)
