@@ -30,6 +30,7 @@ RATE = 0.5
 PIECE = 1 << 19  # bytes whose features are computed at once
 TO_SPACE = bytes(32 if i in BLANKS else i for i in range(256))
 SAME_PAIR = np.uint64(0x5A4D)
+NO_LABELS = np.zeros(0, dtype=np.int32)
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -108,8 +109,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
           label_col: str = "quality", learn_from: Column | None = None, steps: int = STEPS, seed: int = 7) -> Model:
     """A model from at most `rows` rows of each class; learn_from may use columns id and label.
 
-    The tasks turn texts into slots and counts; only these reach the driver, at most 2**BITS
-    of each kind a row. Without labelled rows every text scores one half.
+    The tasks turn texts into slots and counts, at most 2**BITS of each kind a row, and one of them
+    learns from these; the model reaches the driver. Without labelled rows every text scores one half.
     """
     chosen = sample(labels, id_col, label_col, rows, F.lit(True) if learn_from is None else learn_from)
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
@@ -128,19 +129,28 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
                 [batch.column("id").cast(pa.string()), batch.column("label"), pa.array(slots, pa.list_(pa.int32())),
                  pa.array(counts, pa.list_(pa.float32()))], ["id", "label", "slots", "counts"])
 
-    found = texts.mapInArrow(run, "id string, label int, slots array<int>, counts array<float>").toArrow()
-    found = found.sort_by([("id", "ascending"), ("label", "ascending")])
-    labels_ = found.column("label").to_numpy()
-    rows_ = [(np.array(s, np.int32), np.array(c, np.float32))
-             for s, c in zip(_lists(found.column("slots")), _lists(found.column("counts")), strict=True)]
-    return fit(rows_, labels_, steps, seed)
+    # One task learns from the sample, so that the driver, which stays busy for long, gets the model only.
+    # Of equal ids and labels the slots fix the order, which a shuffle does not.
+    found = texts.mapInArrow(run, "id string, label int, slots array<int>, counts array<float>")
+    found = found.repartition(1).sortWithinPartitions("id", "label", "slots", "counts")
+
+    def learn(batches):
+        rows_, labels_ = [], []
+        for batch in batches:
+            labels_.append(batch.column("label").to_numpy())
+            rows_ += zip(_lists(batch.column("slots")), _lists(batch.column("counts")), strict=True)
+        model = fit(rows_, np.concatenate(labels_ or [np.zeros(0, np.int32)]), steps, seed)
+        yield pa.RecordBatch.from_arrays([pa.array([model.gain.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], ["gain", "bias"])
+
+    learnt = found.mapInArrow(learn, "gain binary, bias double").first()
+    if learnt is None:  # Spark may leave out a task without rows
+        return fit([], NO_LABELS, steps, seed)
+    return Model(np.frombuffer(learnt["gain"], dtype=np.float32), learnt["bias"])
 
 
-def _lists(column_):
-    for chunk in column_.chunks:
-        values, offsets = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
-        for a, b in zip(offsets, offsets[1:], strict=False):
-            yield values[a:b]
+def _lists(lists: pa.ListArray) -> list[np.ndarray]:
+    values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> Model:

@@ -113,6 +113,22 @@ def test_quality_edges(spark):
     assert nothing.score(b"any text") == 0.5 and quality.with_score(docs.limit(0), nothing).collect() == []
 
 
+def test_the_sample_is_learnt_from_in_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    docs = [(i, " ".join(rng.choice(["river", "stone", "buy!!", "now$$"], 30))) for i in range(20)]
+    slots = {str(i): np.unique(np.concatenate(quality.features(t.encode())), return_counts=True) for i, t in docs}
+    order = sorted(slots)
+    expected = quality.fit([(slots[i][0], slots[i][1].astype(np.float32)) for i in order], np.array([int(i) % 2 for i in order]), steps=200)
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+
+    def here(*args):
+        raise AssertionError("on the driver")
+
+    monkeypatch.setattr(type(docs), "toArrow", here)
+    model = quality.train(docs, labels, steps=200)
+    assert (model.gain == expected.gain).all() and model.bias == expected.bias
+
+
 def test_long_texts_have_all_their_features():
     text = (" ".join(f"w{i % 977}x" for i in range(200_000))).encode()
     parts = quality.features(text)
