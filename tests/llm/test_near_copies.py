@@ -268,6 +268,32 @@ def test_passages_of_lines_that_very_many_documents_have(spark):
     assert [(r["doc_id"], r["home_id"], r["start"], r["end"], r["agree"]) for r in rows] == [(2000, 1000, 30, 133, 96)]
 
 
+def test_a_stretch_has_no_row_for_each_that_has_it(spark):
+    rng = np.random.default_rng(22)
+    around = lambda *w: " ".join([*text_of(rng, 30, 50_000), *w, *text_of(rng, 9, 50_000)])
+    shared = text_of(rng, 60, 50_000)
+    docs = [(i, around(*shared[6 * i : 6 * i + 8])) for i in range(10)]
+    docs += [(100 + k, around(*(f"new{k}-{i}" if i % 12 == 7 and k else w for i, w in enumerate(shared)))) for k in range(12)]
+    rows = passages.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in rows) == [(100 + k, 30, 90) for k in range(1, 12)]
+
+
+def test_widest_stretches(spark):
+    rows = [(1, 1, 0, 60), (1, 2, 0, 60), (1, 3, 5, 60), (1, 4, 5, 70), (1, 5, 80, 140), (2, 1, 10, 60), (2, 1, 0, 60)]
+    df = spark.createDataFrame(rows, "doc long, home long, start int, end int")
+    kept = df.withColumn("widest", passages._widest(df, "start", "end")).where("widest").collect()
+    assert sorted(tuple(r)[:4] for r in kept) == [(1, 1, 0, 60), (1, 4, 5, 70), (1, 5, 80, 140), (2, 1, 0, 60)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 50])
+def test_places_without_an_open_one_are_left_out(size):
+    h = np.repeat(np.arange(9), [1, 2, 3, 1, 5, 2, 1, 4, 6])
+    is_open = np.isin(np.arange(len(h)), np.flatnonzero(np.diff(h, prepend=-1))) & np.isin(h, [0, 2, 4, 7])
+    batch = pa.RecordBatch.from_arrays([pa.array(h), pa.array(is_open)], ["h", "open"])
+    kept = [x for b in passages._opened(batch.slice(i, size) for i in range(0, len(h), size)) for x in b.column("h").to_pylist()]
+    assert kept == [x for x in h.tolist() if x in (0, 2, 4, 7)]
+
+
 def test_places_are_open_beyond_what_is_covered(spark):
     found = [(1, at, 100 + at, at in (10, 30)) for at in (10, 20, 30, 200)] + [(2, at, 100 + at, True) for at in (10, 20, 30)]
     rows = passages._place_rows(spark.createDataFrame(found, "doc long, at int, h long, common boolean"),
