@@ -415,3 +415,46 @@ def test_saved_tables_leave_no_shuffle_files(spark, tmp_path):
     assert not left and saved.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
     scratch.drop(path)
+
+
+def test_exact_passages_hash_each_text_once(spark, monkeypatch):
+    words = [" ".join(f"w{(i * 7 + j) % 211}" for j in range(90)) for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc long, text string")
+    read = {name: spark.sparkContext.accumulator(0) for name in ("_least_rows", "_window_rows")}
+    for name, seen in read.items():
+        def counted(docs, *sizes, hashes=getattr(passages, name), seen=seen):
+            def count(batches):
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            return hashes(docs.select("doc", "text", *docs.columns[2:]).mapInArrow(count, docs.schema), *sizes)
+
+        monkeypatch.setattr(passages, name, counted)
+    found = passages.exact_passages(docs, Scratch(spark, "once"))
+    assert {(r["doc"], r["home"]) for r in found.collect()} >= {(1, 0), (2, 1)}
+    assert {name: seen.value for name, seen in read.items()} == {"_least_rows": 6, "_window_rows": 6}
+
+
+def test_both_matches_of_a_pair_are_one_row(spark):
+    rng = np.random.default_rng(5)
+    pairs = [(int(rng.integers(10, 14)), int(rng.integers(0, 4)), *(int(x) for x in rng.integers(0, 400, 2)), *(int(x) for x in rng.integers(1, 60, 2)))
+             for _ in range(400)]
+    pairs.append((99, 98, 5, 6, 20, 20))  # the only row of its documents
+    single = [(99, 1, 5, 6), *((10, 3, i, i) for i in range(0, 40, 4))]
+    apart = [(d, h, *x) for d, h, a, b, gap, home_gap in pairs for x in ((a, b), (a + gap, b + home_gap))]
+    together = [(d, h, gap << 32 | a, home_gap << 32 | b) for d, h, a, b, gap, home_gap in pairs]
+    whole, packed = (sorted(map(tuple, passages.chains(spark.createDataFrame(x + single, "doc long, home long, at long, home_at long")).collect()))
+                     for x in (apart, together))
+    assert whole == packed and {(r[0], r[1]) for r in packed} >= {(99, 98), (10, 3)} and 99 not in {r[0] for r in packed if r[1] == 1}
+
+
+def test_words_of_chains_are_found_without_sending_texts(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    texts = spark.createDataFrame([(1, text), (2, f"x {text}"), (3, "other " * 60)], "doc long, text string")
+    anchors = np.array([[11, 21, 31], [10, 20, 30]], dtype="<i4").tobytes()
+    found = spark.createDataFrame([(2, 1, 11, 10, 31, 30, bytearray(anchors))], passages.CHAIN)
+    for bounded in ({}, {"bounded": True}):
+        aligned = passages._aligned(texts, found, 50, 0.8, **bounded)
+        assert [tuple(r) for r in aligned.collect()] == [(2, 1, 1, 98, 0, 97, 97)]
+        assert ("LeftSemi" in aligned._jdf.queryExecution().optimizedPlan().toString()) == bool(bounded)
